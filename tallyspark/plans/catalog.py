@@ -12,8 +12,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..config import DEFAULT, Settings
-from ..operators import category, clean, parse
+from ..operators import category, clean, consolidate, keys, load, parse, report
+from ..session import scratch_path
+from ..sources import sinks, statements
 from . import oracle, synth, transform as tr
+from .consolidate import run_consolidate
+from .daily import DailyPaths, run_daily
+from .joins import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -84,6 +89,153 @@ def q_monthly_category(spark, sf_dir):
                    F.sum("cr").cast("decimal(38,2)").alias("total_cr")))
 
 
+def batch_with_month(spark, sf_dir) -> DataFrame:
+    """Transformed rows with lineage and month, written once to the shared scratch folder."""
+    return materialize(load.with_month(transformed_rows(spark, sf_dir, lineage=True)), "batch")
+
+
+def _seed(batch: DataFrame) -> DataFrame:
+    """The 'already loaded' half: statements whose file group number is even."""
+    return batch.filter(F.substring("file_name", 11, 5).cast("int") % 2 == 0)
+
+
+def q_incremental_load(spark, sf_dir):
+    """J1 + J2 + S7-S10: load half, then everything; the month table holds each row once."""
+    batch = batch_with_month(spark, sf_dir).drop("line_no")
+    base = scratch_path(spark, "months")
+    load.route(_seed(batch).drop("file_name"), base)
+    load.route(batch.drop("file_name"), base)
+    return _flat(spark.read.parquet(base))
+
+
+def q_delta_counts(spark, sf_dir):
+    """G3 (+J1): incoming / existing / delta rows per month for the second load."""
+    batch = batch_with_month(spark, sf_dir)
+    seed = _seed(batch)
+    delta = load.anti_join(batch, seed)
+    return load.month_counts(batch, seed, delta)
+
+
+def _write_inbox(spark, sf_dir) -> str:
+    inbox = scratch_path(spark, "inbox")
+    synth.write_statement_files(synth.read_table(spark, sf_dir, "lineitem"), DEFAULT, inbox)
+    return inbox
+
+
+def q_statement_files(spark, sf_dir):
+    """S3 + S4 + S5 + S6: statement exports read back from files, cleaned."""
+    inbox = _write_inbox(spark, sf_dir)
+    lines = statements.read_statements(spark, inbox, DEFAULT)
+    return clean.cleaned(clean.parse_lines(lines, DEFAULT), lineage=True).drop("line_no")
+
+
+def q_listing(spark, sf_dir):
+    """Statement files with their line counts (listing joined to a line count)."""
+    inbox = _write_inbox(spark, sf_dir)
+    listing = statements.list_statements(spark, inbox).select(
+        F.regexp_extract("path", r"file_name=([^/]+)/", 1).alias("statement"), "path")
+    counts = (spark.read.text(inbox).select(F.col("_metadata.file_path").alias("path"))
+                   .groupBy("path").agg(F.count(F.lit(1)).alias("n_lines")))
+    return listing.join(counts, "path").select("statement", "n_lines")
+
+
+def _daily_paths(spark, inbox) -> DailyPaths:
+    return DailyPaths(inbox=inbox, months=scratch_path(spark, "months"),
+                      rejects=scratch_path(spark, "rejects"), runs=scratch_path(spark, "runs"),
+                      processed=scratch_path(spark, "processed"))
+
+
+def q_daily(spark, sf_dir):
+    """E1 (+S14): run the daily job, then re-run it on the same files (delta 0)."""
+    paths = _daily_paths(spark, _write_inbox(spark, sf_dir))
+    run_daily(spark, DEFAULT, paths, max_files=10**9)
+    # same files delivered again (fresh processed list): the anti join appends nothing
+    again = DailyPaths(**{**paths.__dict__, "processed": scratch_path(spark, "processed")})
+    run_daily(spark, DEFAULT, again, max_files=10**9)
+    return _flat(spark.read.parquet(paths.months))
+
+
+def q_consolidate(spark, sf_dir):
+    """E2 (U1, U2, O1, F1, S11, S12): master rebuilt from the month tables."""
+    paths = _daily_paths(spark, _write_inbox(spark, sf_dir))
+    run_daily(spark, DEFAULT, paths, max_files=10**9)
+    master = scratch_path(spark, "master")
+    run_consolidate(spark, DEFAULT, paths.months, master, paths.runs)
+    return _flat(spark.read.parquet(master))
+
+
+def q_duplicates(spark, sf_dir):
+    """Rows before and after key de-duplication (one aggregation, no cross join)."""
+    per_key = batch_with_month(spark, sf_dir).groupBy("uuid").agg(F.count(F.lit(1)).alias("n"))
+    return per_key.agg(F.sum("n").cast("bigint").alias("rows_before"),
+                       F.count(F.lit(1)).alias("rows_after")).select(
+        "rows_before", "rows_after", (F.col("rows_before") - F.col("rows_after")).alias("duplicates_removed"))
+
+
+def q_dedup(spark, sf_dir):
+    """One row per key (latest month, then greatest columns)."""
+    batch = batch_with_month(spark, sf_dir).drop("file_name", "line_no").withColumnRenamed("month", "source_month")
+    return _flat(consolidate.deduplicate(batch))
+
+
+def q_banks(spark, sf_dir):
+    """G1."""
+    return report.distinct_banks(transformed_rows(spark, sf_dir))
+
+
+def q_months(spark, sf_dir):
+    """G2."""
+    return report.distinct_months(transformed_rows(spark, sf_dir))
+
+
+def q_source_months(spark, sf_dir):
+    """G4."""
+    b = batch_with_month(spark, sf_dir).withColumnRenamed("month", "source_month")
+    return report.count_distinct_months(b)
+
+
+def q_filter_app(spark, sf_dir):
+    """rows per filter_app value."""
+    df = consolidate.add_filter_col(transformed_rows(spark, sf_dir), DEFAULT)
+    return df.groupBy("filter_app").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def q_export(spark, sf_dir):
+    """S13 + T12: export projection, every cell as text."""
+    return sinks.export_projection(transformed_rows(spark, sf_dir, lineage=True))
+
+
+def q_token_layouts(spark, sf_dir):
+    """Token counts, manual flag and transaction type per bank."""
+    return (transformed_rows(spark, sf_dir)
+            .groupBy("bank", "len_split", "is_manual", "transaction_type")
+            .agg(F.count(F.lit(1)).alias("rows")))
+
+
+def q_salary(spark, sf_dir):
+    """Salary rows per (shifted) month."""
+    df = transformed_rows(spark, sf_dir)
+    return (df.groupBy(parse.month_of(F.col("date")).alias("month"),
+                       (F.col("raw_category") == DEFAULT.salary_label).alias("is_salary"))
+              .agg(F.count(F.lit(1)).alias("rows"), F.min("date").alias("first_date")))
+
+
+def q_txn_key(spark, sf_dir):
+    """D-K: transaction id as key when usable, else the hash."""
+    df = keys.build_txn_key(transformed_rows(spark, sf_dir, lineage=True), DEFAULT, "txn_key")
+    return df.select("file_name", "line_no", "transaction_no", "uuid", "txn_key")
+
+
+def q_summary_view(spark, sf_dir):
+    """D-V: category / sub-category roll-up."""
+    return report.summary_view(transformed_rows(spark, sf_dir))
+
+
+def q_month_pivot(spark, sf_dir):
+    """D-V: debit totals pivoted by month."""
+    return report.month_pivot_view(transformed_rows(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "E3_monthly_category": q_monthly_category,
     "P_clean": q_clean,
@@ -92,6 +244,24 @@ QUERIES: dict[str, Query] = {
     "C_category_resolution": q_category_resolution,
     "C8_manual_audit": q_manual_audit,
     "C10_unspecified_audit": q_unspecified_audit,
+    "T_token_layouts": q_token_layouts,
+    "T11_salary": q_salary,
+    "J2_incremental_load": q_incremental_load,
+    "G3_delta_counts": q_delta_counts,
+    "S3_statement_files": q_statement_files,
+    "S1_listing": q_listing,
+    "E1_daily": q_daily,
+    "E2_consolidate": q_consolidate,
+    "U2_dedup": q_dedup,
+    "G5_duplicates": q_duplicates,
+    "G1_banks": q_banks,
+    "G2_months": q_months,
+    "G4_source_months": q_source_months,
+    "F1_filter_app": q_filter_app,
+    "S13_export": q_export,
+    "DK_txn_key": q_txn_key,
+    "DV_summary": q_summary_view,
+    "DV_month_pivot": q_month_pivot,
 }
 
 
@@ -131,3 +301,89 @@ WHERE SubCategory = {oracle._q(DEFAULT.manual_label)} GROUP BY ALL"""),
 SELECT SubCategory AS value, count(*) AS rows FROM transformed
 WHERE Category = {oracle._q(DEFAULT.unspecified_label)} GROUP BY ALL"""),
 }
+
+
+TRANSFORMED_TEXT_COLS = ("date, particulars, dr, cr, bank, array_to_string(split, '|') AS split, len_split, "
+                         "is_manual, transaction_type, transaction_no, payment_to, raw_category, "
+                         "SubCategory, Category, uuid")
+
+_BATCH = """,
+batch AS (SELECT *, strftime(date, '%Y-%m') AS month FROM transformed),
+seed AS (SELECT * FROM batch WHERE CAST(substr(file_name, 11, 5) AS INTEGER) % 2 = 0),
+delta AS (SELECT * FROM batch b WHERE NOT EXISTS (
+            SELECT 1 FROM seed s WHERE s.month = b.month AND s.uuid = b.uuid))"""
+
+
+def _filter_app_sql(col: str = "Category") -> str:
+    kept = " ".join(f"WHEN {col} = {oracle._q(v)} THEN {oracle._q(v)}" for v in DEFAULT.filter_app_kept)
+    blank = ", ".join(oracle._q(v) for v in DEFAULT.filter_app_blank)
+    return f"CASE {kept} WHEN {col} IN ({blank}) THEN '' ELSE 'Expense' END"
+
+
+def _lines_per_file_sql() -> str:
+    s = DEFAULT
+    return "WITH " + oracle.synth_cte().strip() + f""",
+all_lines AS (SELECT file_name, axis FROM rows, (SELECT unnest([1, 2]) AS copy) c WHERE c.copy = 1 OR m = 10)
+SELECT file_name AS statement,
+       count(*) + max(CASE WHEN axis THEN {s.bank('axis').skip_rows} ELSE {s.bank('hdfc').skip_rows} END) + 1 AS n_lines
+FROM all_lines GROUP BY file_name"""
+
+
+_DEDUP = f"""
+SELECT DISTINCT {TRANSFORMED_TEXT_COLS}, month AS source_month FROM batch"""
+
+ORACLE.update({
+    "T_token_layouts": _transformed_select("""
+SELECT bank, len_split, is_manual, transaction_type, count(*) AS rows FROM transformed GROUP BY ALL"""),
+    "T11_salary": _transformed_select(f"""
+SELECT strftime(date, '%Y-%m') AS month, raw_category = {oracle._q(DEFAULT.salary_label)} AS is_salary,
+       count(*) AS rows, min(date) AS first_date FROM transformed GROUP BY ALL"""),
+    "J2_incremental_load": _transformed_select(_BATCH + f"""
+SELECT {TRANSFORMED_TEXT_COLS}, month FROM seed
+UNION ALL SELECT {TRANSFORMED_TEXT_COLS}, month FROM delta"""),
+    "G3_delta_counts": _transformed_select(_BATCH + """
+SELECT b.month, b.incoming, coalesce(e.existing, 0) AS existing, coalesce(d.delta, 0) AS delta
+FROM (SELECT month, count(*) AS incoming FROM batch GROUP BY month) b
+LEFT JOIN (SELECT month, count(*) AS existing FROM seed GROUP BY month) e ON e.month = b.month
+LEFT JOIN (SELECT month, count(*) AS delta FROM delta GROUP BY month) d ON d.month = b.month"""),
+    "S3_statement_files": "WITH " + oracle.synth_cte().strip() + """
+SELECT date, particulars, dr, cr, bank, file_name FROM cleaned""",
+    "S1_listing": _lines_per_file_sql(),
+    "E1_daily": _transformed_select(_BATCH + f"""
+SELECT {TRANSFORMED_TEXT_COLS}, month FROM batch"""),
+    "E2_consolidate": _transformed_select(_BATCH + f"""
+SELECT *, {_filter_app_sql()} AS filter_app FROM ({_DEDUP})"""),
+    "U2_dedup": _transformed_select(_BATCH + _DEDUP),
+    "G5_duplicates": _transformed_select(_BATCH + """
+SELECT count(*) AS rows_before, count(DISTINCT uuid) AS rows_after,
+       count(*) - count(DISTINCT uuid) AS duplicates_removed FROM batch"""),
+    "G1_banks": _transformed_select("SELECT DISTINCT bank FROM transformed"),
+    "G2_months": _transformed_select("SELECT DISTINCT strftime(date, '%Y-%m') AS month FROM transformed"),
+    "G4_source_months": _transformed_select("SELECT count(DISTINCT strftime(date, '%Y-%m')) AS months FROM transformed"),
+    "F1_filter_app": _transformed_select(f"""
+SELECT {_filter_app_sql()} AS filter_app, count(*) AS rows FROM transformed GROUP BY ALL"""),
+    "S13_export": _transformed_select("""
+SELECT coalesce(strftime(date, '%Y-%m-%d'), '') AS date, coalesce(particulars, '') AS particulars,
+       coalesce(CAST(dr AS VARCHAR), '') AS dr, coalesce(CAST(cr AS VARCHAR), '') AS cr,
+       coalesce(bank, '') AS bank, coalesce(array_to_string(split, '|'), '') AS split,
+       coalesce(CAST(len_split AS VARCHAR), '') AS len_split, coalesce(is_manual, '') AS is_manual,
+       coalesce(transaction_type, '') AS transaction_type, coalesce(transaction_no, '') AS transaction_no,
+       coalesce(payment_to, '') AS payment_to, coalesce(raw_category, '') AS raw_category,
+       coalesce(SubCategory, '') AS SubCategory, coalesce(Category, '') AS Category,
+       coalesce(uuid, '') AS uuid, coalesce(file_name, '') AS file_name,
+       coalesce(CAST(line_no AS VARCHAR), '') AS line_no
+FROM transformed"""),
+    "DK_txn_key": _transformed_select(f"""
+SELECT file_name, line_no, transaction_no, uuid,
+       CASE WHEN length(upper({oracle.strip('transaction_no')})) >= {DEFAULT.min_txn_id_len}
+             AND upper({oracle.strip('transaction_no')}) NOT IN ({", ".join(oracle._q(w) for w in DEFAULT.invalid_txn_ids)})
+            THEN upper({oracle.strip('transaction_no')}) ELSE uuid END AS txn_key
+FROM transformed"""),
+    "DV_summary": _transformed_select("""
+SELECT Category, SubCategory, count(*) AS n_txn, CAST(sum(dr) AS DECIMAL(38,2)) AS total_dr,
+       CAST(sum(cr) AS DECIMAL(38,2)) AS total_cr
+FROM transformed GROUP BY ROLLUP (Category, SubCategory)"""),
+    "DV_month_pivot": _transformed_select(""",
+m AS (SELECT Category, strftime(date, '%Y-%m') AS month, dr FROM transformed)
+PIVOT m ON month USING CAST(sum(dr) AS DECIMAL(38,2)) GROUP BY Category"""),
+})

@@ -4,24 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import scratch_path
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage by a reliable checkpoint in the session's shared checkpoint folder."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut lineage: write ``df`` as parquet under the shared checkpoint folder, read it back.
+
+    The folder comes from ``spark.checkpoint.dir`` (shared storage on a
+    cluster), so the table survives executor loss and later jobs never
+    recompute its lineage.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def size_checked_join(big: DataFrame, small: DataFrame, cond: Column, max_rows: int,
                       how: str = "left") -> DataFrame:
     """Join ``small`` onto ``big``; broadcast only when ``small`` is proven small.
 
-    ``small`` is written to the checkpoint folder first, so its exact row count
+    ``small`` is written to the shared checkpoint folder first, so its exact row count
     is known before planning the join and it is not recomputed.  Above
     ``max_rows`` the join is a shuffle join (AQE splits skewed partitions).
     """
-    small = materialize(small)
+    small = materialize(small, "lookup")
     n = small.count()
     if n <= max_rows:
         return big.join(F.broadcast(small), cond, how)

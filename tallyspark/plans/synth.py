@@ -41,7 +41,8 @@ FILE_GROUP = 1000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    from ..sources.tables import balanced
+    return balanced(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def _pick(words: tuple[str, ...], idx: Column) -> Column:
@@ -140,15 +141,23 @@ def statement_lines(lineitem: DataFrame, settings: Settings) -> DataFrame:
 def statement_rows(lineitem: DataFrame, settings: Settings) -> DataFrame:
     """Statement lines with their header layout, ready for ``clean.parse_lines``.
 
-    The two synthetic layouts are interpreted once on a two-row table and
-    broadcast-joined by bank (size bounded by the configured banks).
+    The two synthetic layouts are interpreted by ``header_layout`` on a
+    two-row table (bounded by the configured banks) and attached per bank.
     """
-    from ..operators.clean import header_layout
-    lines = statement_lines(lineitem, settings)
+    from ..operators.clean import LAYOUT_COLUMNS, header_layout
     spark = lineitem.sparkSession
     layouts = header_layout(spark.createDataFrame(
         [("axis", AXIS_HEADER), ("hdfc", HDFC_HEADER)], "bank string, header string"), settings)
-    return lines.drop("header").join(F.broadcast(layouts), "bank").drop("bank")
+    per_bank = {r["bank"]: r for r in layouts.collect()}
+    lines = statement_lines(lineitem, settings)
+    cols = {}
+    for c in LAYOUT_COLUMNS:
+        expr = None
+        for bank, r in per_bank.items():
+            expr = (F.when(F.col("bank") == bank, F.lit(r[c])) if expr is None
+                    else expr.when(F.col("bank") == bank, F.lit(r[c])))
+        cols[c] = expr
+    return lines.drop("header").withColumns(cols).drop("bank")
 
 
 def preamble_lines(lines: DataFrame, settings: Settings) -> DataFrame:
@@ -162,3 +171,17 @@ def preamble_lines(lines: DataFrame, settings: Settings) -> DataFrame:
         F.when(F.col("line_no") == F.col("skip"), F.col("header"))
          .otherwise(F.concat(F.lit("Statement detail "), F.col("line_no").cast("string"), F.lit(",,,")))
          .alias("line"))
+
+
+def write_statement_files(lineitem: DataFrame, settings: Settings, path: str) -> None:
+    """Write the synthetic statements as real export files under ``path``.
+
+    One text file per statement (``path/file_name=<name>/part-*.txt``):
+    preamble, header, then the data lines in order.  Each statement is one
+    task's sorted run, bounded by ``FILE_GROUP`` orders.
+    """
+    data = statement_lines(lineitem, settings)
+    pre = preamble_lines(data, settings)
+    allrows = data.select("file_name", "line_no", "line").unionByName(pre)
+    (allrows.repartition("file_name").sortWithinPartitions("file_name", "line_no")
+            .select("file_name", "line").write.mode("overwrite").partitionBy("file_name").text(path))
