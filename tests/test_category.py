@@ -1,0 +1,72 @@
+"""C1-C11 on the category resolution cases of the fixtures document."""
+
+import pytest
+
+from tallyspark.config import DEFAULT, Settings, Taxonomy
+from tallyspark.operators import category
+
+# A small taxonomy holding the labels the fixture cases name.
+CASE_TAXONOMY = Taxonomy((
+    ("Food", ("Food",)),
+    ("Home", ("Rent", "Tea")),
+    ("Family", ("Wife",)),
+    ("Investment", ("RD",)),
+    ("Tea_N_Others", ("Others",)),
+    ("Restuarants", ("Restuarants",)),
+    ("Medical", ("Insurance",)),
+    ("Income", ("Music",)),
+    ("Personal", ("Music",)),
+))
+SETTINGS = Settings(banks=DEFAULT.banks, value_map=(), taxonomy=CASE_TAXONOMY,
+                    generic_categories=(), salary_account="0")
+
+CASES = [
+    ("Food", "Food"), ("tea rent", "Rent"), ("rent wife", "Rent"), ("card", "RD"),
+    ("other", "Others"), ("restaurant", "Restuarants"), ("advance", "MANUAL"),
+    (None, "MANUAL"), ("", "MANUAL"), ("unspecified", "MANUAL"), ("  FOOD ", "Food"),
+]
+
+
+@pytest.mark.parametrize("distinct", [False, True])
+def test_resolution_tiers(spark, distinct):
+    df = spark.createDataFrame([(v,) for v, _ in CASES], "raw_category string")
+    out = category.build_category_pipeline(df, SETTINGS, distinct=distinct)
+    got = {r.raw_category: (r.SubCategory, r.Category) for r in out.collect()}
+    for value, sub in CASES:
+        assert got[value][0] == sub, value
+    assert got["Food"][1] == "Food"
+    assert got["advance"][1] == "Unspecified"
+    assert got[None][1] == "Unspecified"
+
+
+def test_label_under_two_parents_last_wins(spark):
+    df = spark.createDataFrame([("music",)], "raw_category string")
+    out = category.build_category_pipeline(df, SETTINGS).first()
+    assert (out.SubCategory, out.Category) == ("Music", "Personal")
+
+
+def test_equal_length_tie_goes_to_earlier_label(spark):
+    df = spark.createDataFrame([("wife rent",), ("rent wife",)], "raw_category string")
+    subs = {r.raw_category: r.SubCategory for r in category.create_subcategory(df, SETTINGS).collect()}
+    assert subs == {"wife rent": "Rent", "rent wife": "Rent"}
+
+
+def test_threshold_option(spark):
+    df = spark.createDataFrame([("restaurant",)], "raw_category string")
+    strict = category.create_subcategory(df, SETTINGS, fuzzy_threshold=90).first().SubCategory
+    assert strict == "MANUAL"
+
+
+def test_audits(spark):
+    df = spark.createDataFrame([(v,) for v, _ in CASES], "raw_category string")
+    out = category.build_category_pipeline(df, SETTINGS)
+    manual = {r.value for r in category.audit_unresolved(out, "raw_category", "SubCategory", "MANUAL").collect()}
+    assert manual == {"advance", None, "", "unspecified"}
+
+
+def test_default_taxonomy_has_required_shapes():
+    labels = category.label_table(DEFAULT)
+    norms = [l.norm for l in labels]
+    assert any(len(n) == 2 for n in norms)
+    books = [l for l in labels if l.norm == "books"][0]
+    assert books.category == "Education"
