@@ -24,7 +24,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import Settings
-from ..functions.fuzzy import MAX_BITS, lcs_bits, lcs_dp, masks_literal, ratio, token_sort, token_sort_py
+from ..functions.fuzzy import MAX_BITS, lcs_bits, lcs_dp, match_masks, ratio, token_sort, token_sort_py
+from ..functions.literals import json_literal, string_map
 from ..functions.text import norm
 from ..plans.joins import size_checked_join
 
@@ -54,28 +55,26 @@ def label_table(settings: Settings, case_sensitive: bool | None = None) -> list[
     return sorted(by_norm.values(), key=lambda l: l.ord)
 
 
+_LABEL_DDL = ("array<struct<norm:string,label:string,ord:int,len:int,sorted:string,slen:int,"
+              "masks:map<string,bigint>,full:bigint>>")
+
+
 def _labels_array(labels: list[Label]) -> Column:
     items = []
     for l in labels:
         blen = len(l.sorted)
-        items.append(F.struct(
-            F.lit(l.norm).alias("norm"),
-            F.lit(l.label).alias("label"),
-            F.lit(l.ord).alias("ord"),
-            F.lit(len(l.label)).alias("len"),
-            F.lit(l.sorted).alias("sorted"),
-            F.lit(blen).alias("slen"),
-            masks_literal(l.sorted if blen <= MAX_BITS else "").alias("masks"),
-            F.lit((1 << blen) - 1 if blen <= MAX_BITS else 0).cast("bigint").alias("full"),
-        ))
-    return F.array(*items)
+        short = blen <= MAX_BITS
+        items.append({
+            "norm": l.norm, "label": l.label, "ord": l.ord, "len": len(l.label),
+            "sorted": l.sorted, "slen": blen,
+            "masks": match_masks(l.sorted) if short else {},
+            "full": (1 << blen) - 1 if short else 0,
+        })
+    return json_literal(items, _LABEL_DDL)
 
 
 def _exact_map(labels: list[Label]) -> Column:
-    kv = []
-    for l in labels:
-        kv += [F.lit(l.norm), F.lit(l.label)]
-    return F.create_map(*kv)
+    return string_map((l.norm, l.label) for l in labels)
 
 
 def tier_exact(v: Column, labels: list[Label]) -> Column:
@@ -151,10 +150,7 @@ def create_subcategory(df: DataFrame, settings: Settings, source_col: str = "raw
 
 def category_map(settings: Settings, case_sensitive: bool | None = None) -> Column:
     cs = settings.case_sensitive if case_sensitive is None else case_sensitive
-    kv = []
-    for l in label_table(settings, cs):
-        kv += [F.lit(l.norm), F.lit(l.category)]
-    return F.create_map(*kv)
+    return string_map((l.norm, l.category) for l in label_table(settings, cs))
 
 
 def create_category(df: DataFrame, settings: Settings, source_col: str = "SubCategory",

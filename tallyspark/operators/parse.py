@@ -12,6 +12,7 @@ import re
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import Settings
+from ..functions.literals import string_map
 from ..functions.text import capitalize, py_strip
 
 
@@ -60,10 +61,8 @@ def data_preprocessor(df: DataFrame, settings: Settings) -> DataFrame:
 
 
 def value_map(settings: Settings) -> Column:
-    kv = []
-    for raw, std in settings.value_map:
-        kv += [F.lit(raw.lower() if settings.normalize_map_keys else raw), F.lit(std)]
-    return F.create_map(*kv)
+    return string_map((raw.lower() if settings.normalize_map_keys else raw, std)
+                      for raw, std in settings.value_map)
 
 
 def clean_raw_category(df: DataFrame, settings: Settings, col: str = "raw_category") -> DataFrame:
