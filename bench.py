@@ -16,10 +16,12 @@ from tallyspark.plans import catalog  # noqa: E402
 from tallyspark.session import local_session  # noqa: E402
 
 HEADLINE = [
-    "E3_monthly_category",
-    "P_clean",
-    "E3_transform",
-    "C_category_resolution",
+    "E3_monthly_category",    # flagship: statements -> clean -> transform -> monthly totals
+    "P_clean",                # P1-P10 over every statement line
+    "E3_transform",           # full transform incl. category tiers and keys
+    "C_category_resolution",  # C1-C11 audit table
+    "J2_incremental_load",    # two loads into month tables (second is the anti-join delta)
+    "U2_dedup",               # consolidation de-duplication
 ]
 
 

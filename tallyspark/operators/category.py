@@ -120,6 +120,29 @@ def tier_fuzzy(v: Column, labels: list[Label], threshold: int) -> Column:
     return F.when(best["score"] >= F.lit(float(threshold)), best["label"])
 
 
+def fuzzy_candidates(values: DataFrame, col: str, settings: Settings,
+                     fuzzy_threshold: int | None = None) -> DataFrame:
+    """C5 audit: for values no exact or substring label catches, the best
+    pruned label and its score (whether or not it reaches the threshold)."""
+    thr = settings.fuzzy_threshold if fuzzy_threshold is None else fuzzy_threshold
+    labels = label_table(settings)
+    v = norm(F.col(col), settings.case_sensitive)
+    a = token_sort(v)
+    la = F.length(a)
+    arr = _labels_array([l for l in labels if len(l.sorted) <= MAX_BITS])
+    cand = F.filter(arr, lambda l: F.lit(200) * F.least(la, l["slen"]) >= F.lit(thr) * (la + l["slen"]))
+    best = F.array_max(F.transform(cand, lambda l: F.struct(
+        ratio(lcs_bits(a, l["masks"], l["full"], l["slen"]), la, l["slen"]).alias("score"),
+        (-l["ord"]).alias("nord"), l["label"].alias("label"))))
+    open_ = F.col(col).isNotNull() & tier_exact(v, labels).isNull() & tier_substring(v, labels).isNull()
+    out = values.select(F.col(col), open_.alias("__open"), best.alias("__best"))
+    return (out.select(F.explode(F.filter(F.array(F.struct(
+                F.col(col).alias(col), F.col("__best.label").alias("best_label"),
+                F.col("__best.score").alias("score"))),
+                lambda _: F.col("__open") & F.col("__best").isNotNull())).alias("r"))
+               .select("r.*"))
+
+
 def resolve_expr(src: Column, settings: Settings, manual_label: str | None = None,
                  case_sensitive: bool | None = None, fuzzy_threshold: int | None = None) -> Column:
     """C1 + C3..C6 as one expression over the raw value column."""

@@ -245,6 +245,35 @@ def q_month_pivot(spark, sf_dir):
     return report.month_pivot_view(transformed_rows(spark, sf_dir))
 
 
+def q_fuzzy(spark, sf_dir):
+    """Values left after exact and substring tiers, their best label and token-sort score."""
+    vals = transformed_rows(spark, sf_dir).select("raw_category").distinct()
+    return category.fuzzy_candidates(vals, "raw_category", DEFAULT)
+
+
+def q_run_report(spark, sf_dir):
+    """run reports of a daily run and of a re-delivery of the same files."""
+    paths = _daily_paths(spark, _write_inbox(spark, sf_dir))
+    run_daily(spark, DEFAULT, paths, max_files=10**9)
+    again = DailyPaths(**{**paths.__dict__, "processed": scratch_path(spark, "processed")})
+    run_daily(spark, DEFAULT, again, max_files=10**9)
+    runs = spark.read.parquet(paths.runs)
+    return runs.select("pipeline", "status", "rows", "groups",
+                       F.get_json_object("details", "$.delta").cast("bigint").alias("delta"))
+
+
+def q_stream_daily(spark, sf_dir):
+    """E1 as a Structured Streaming job (AvailableNow, several micro-batches)."""
+    from ..streaming.daily import start_daily_stream
+    paths = _daily_paths(spark, _write_inbox(spark, sf_dir))
+    q = start_daily_stream(spark, DEFAULT, paths, scratch_path(spark, "stream-ckpt"),
+                           max_files_per_trigger=8)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return _flat(spark.read.parquet(paths.months))
+
+
 QUERIES: dict[str, Query] = {
     "E3_monthly_category": q_monthly_category,
     "P_clean": q_clean,
@@ -271,6 +300,9 @@ QUERIES: dict[str, Query] = {
     "DK_txn_key": q_txn_key,
     "DV_summary": q_summary_view,
     "DV_month_pivot": q_month_pivot,
+    "C5_fuzzy": q_fuzzy,
+    "F2_run_report": q_run_report,
+    "E1_stream_daily": q_stream_daily,
 }
 
 
@@ -396,3 +428,21 @@ FROM transformed GROUP BY ROLLUP (Category, SubCategory)"""),
 m AS (SELECT Category, strftime(date, '%Y-%m') AS month, dr FROM transformed)
 PIVOT m ON month USING CAST(sum(dr) AS DECIMAL(38,2)) GROUP BY Category"""),
 })
+
+
+def _fuzzy_sql() -> str:
+    # reuse the transform CTEs, then expose the fuzzy tier's best pair per value
+    return oracle.with_transformed() + """
+SELECT v AS raw_category, label AS best_label, score FROM (
+  SELECT v, label, score, row_number() OVER (PARTITION BY v ORDER BY score DESC, ord) AS rk FROM scored)
+WHERE rk = 1"""
+
+
+ORACLE.update({
+    "C5_fuzzy": _fuzzy_sql(),
+    "F2_run_report": _transformed_select(_BATCH + """
+SELECT 'ETL' AS pipeline, 'SUCCESS' AS status, count(*) AS rows, 2 AS groups, count(*) AS delta FROM batch
+UNION ALL SELECT 'ETL', 'SUCCESS', count(*), 2, 0 FROM batch"""),
+    "E1_stream_daily": _transformed_select(_BATCH + f"""
+SELECT {TRANSFORMED_TEXT_COLS}, month FROM batch"""),
+})
