@@ -93,3 +93,15 @@ def test_listing_newest_first(spark, inbox):
     listing = statements.list_statements(spark, inbox).collect()
     mods = [r.modified for r in listing]
     assert mods == sorted(mods, reverse=True) and len(listing) > 2
+
+
+def test_write_fresh_replaces_only_present_months(spark):
+    batch = catalog.batch_with_month(spark, SF).drop("file_name", "line_no")
+    months = load.batch_months(batch)
+    base = scratch_path(spark, "months")
+    load.write_fresh(batch, base)
+    one = batch.filter(F.col("month") == months[0]).limit(1)
+    load.write_fresh(one, base)                            # S8: that month now holds one row
+    after = spark.read.parquet(base)
+    assert after.filter(F.col("month") == months[0]).count() == 1
+    assert after.filter(F.col("month") != months[0]).count() == batch.filter(F.col("month") != months[0]).count()
