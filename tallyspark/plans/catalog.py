@@ -441,8 +441,9 @@ WHERE rk = 1"""
 ORACLE.update({
     "C5_fuzzy": _fuzzy_sql(),
     "F2_run_report": _transformed_select(_BATCH + """
-SELECT 'ETL' AS pipeline, 'SUCCESS' AS status, count(*) AS rows, 2 AS groups, count(*) AS delta FROM batch
-UNION ALL SELECT 'ETL', 'SUCCESS', count(*), 2, 0 FROM batch"""),
+SELECT 'ETL' AS pipeline, 'SUCCESS' AS status, count(*) AS rows, CAST(2 AS BIGINT) AS groups,
+       count(*) AS delta FROM batch
+UNION ALL SELECT 'ETL', 'SUCCESS', count(*), CAST(2 AS BIGINT), CAST(0 AS BIGINT) FROM batch"""),
     "E1_stream_daily": _transformed_select(_BATCH + f"""
 SELECT {TRANSFORMED_TEXT_COLS}, month FROM batch"""),
 })
