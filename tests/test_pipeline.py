@@ -73,13 +73,23 @@ def test_daily_then_consolidate(spark, inbox):
 
 
 def test_streaming_available_now_matches_batch(spark, inbox):
-    p = paths(spark, inbox)
-    q = start_daily_stream(spark, DEFAULT, p, scratch_path(spark, "ckpt"), max_files_per_trigger=4)
+    # a private copy of the inbox: the stream archives (moves) the files it finished
+    own = scratch_path(spark, "inbox")
+    synth.write_statement_files(synth.read_table(spark, SF, "lineitem"), DEFAULT, own)
+    p = paths(spark, own)
+    archive_dir = scratch_path(spark, "archived")
+    q = start_daily_stream(spark, DEFAULT, p, scratch_path(spark, "ckpt"), max_files_per_trigger=1,
+                           archive_dir=archive_dir)
     q.awaitTermination(600)
+    assert q.exception() is None
     streamed = spark.read.parquet(p.months)
     batch = catalog.batch_with_month(spark, SF)
     assert streamed.count() == batch.count()
     assert streamed.select("uuid").subtract(batch.select("uuid")).count() == 0
+    # files of all but the last micro-batch have been moved to the archive
+    archived = spark.read.text(archive_dir, wholetext=True).count() if os.path.exists(
+        archive_dir.replace("file:", "")) else 0
+    assert archived >= 1
 
 
 def test_dedup_keeps_latest_month(spark):
