@@ -38,15 +38,13 @@ def transformed_rows(spark: SparkSession, sf_dir: str, s: Settings = DEFAULT,
                      lineage: bool = False) -> DataFrame:
     """E3 over the cleaned rows.
 
-    The cleaned rows are written once to the shared scratch folder: the
-    category step reads its input twice (distinct values, then the join
-    back), and the parse should run once, not twice.
+    The parsed rows (T1-T11 done) are written once to the shared scratch
+    folder: the category step reads its input twice (distinct values, then
+    the join back), and the parse should run once, not twice.
     """
     keep = ("file_name", "line_no") if lineage else ()
-    staged = materialize(cleaned_rows(spark, sf_dir, s, lineage=True), "cleaned")
-    if not lineage:
-        staged = staged.drop("file_name", "line_no")
-    return tr.transform(staged, s, keep=keep)
+    return tr.transform(cleaned_rows(spark, sf_dir, s, lineage), s, keep=keep,
+                        stage=lambda d: materialize(d, "prepared"))
 
 
 def _flat(df: DataFrame) -> DataFrame:

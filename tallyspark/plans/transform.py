@@ -15,16 +15,21 @@ TRANSFORMED_COLUMNS = [
 
 
 def transform(df: DataFrame, settings: Settings, distinct_categories: bool = True,
-              keep: tuple[str, ...] = ()) -> DataFrame:
+              keep: tuple[str, ...] = (), stage=None) -> DataFrame:
     """Order is semantic: the salary shift precedes the key, the map precedes the trim.
 
     ``keep`` names extra input columns passed through unchanged (lineage).
+    ``stage`` (optional, DataFrame -> DataFrame) is applied to the rows before
+    the category step, e.g. to write them once: that step reads its input
+    twice (distinct values, then the join back).
     """
     df = parse.data_preprocessor(df, settings)                    # T1-T5
     df = parse.clean_raw_category(df, settings)                   # T6, T7
     df = parse.apply_raw_category_transformation(df, settings)    # T8, T9
     df = parse.capitalize_raw_category(df)                        # T10
     df = parse.modify_salaried_record(df, settings)               # T11
+    if stage is not None:
+        df = stage(df)
     df = category.build_category_pipeline(df, settings, distinct=distinct_categories)  # C1-C11
     df = keys.build_unique_key(df, settings)                      # K1, K2
     return df.select(*TRANSFORMED_COLUMNS, *keep)
