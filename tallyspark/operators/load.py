@@ -51,6 +51,7 @@ class LoadResult:
     months: list[str]
     incoming: int
     delta: int
+    incoming_by_month: dict[str, int] | None = None
 
 
 def route(batch: DataFrame, base_path: str, key: str = "uuid") -> LoadResult:
@@ -61,15 +62,18 @@ def route(batch: DataFrame, base_path: str, key: str = "uuid") -> LoadResult:
     """
     if MONTH not in batch.columns:
         batch = with_month(batch)
-    months = batch_months(batch)
-    incoming = batch.count()
+    # one small job: months of the batch with their row counts (bounded by calendar months)
+    per_month = {r[MONTH]: int(r["n"]) for r in
+                 batch.groupBy(MONTH).agg(F.count(F.lit(1)).alias("n")).collect()}
+    months = sorted(per_month)
+    incoming = sum(per_month.values())
     existing = read_existing(batch, base_path, months)
     delta = batch if existing is None else anti_join(batch, existing, key)
     obs = Observation("load")
     delta = delta.observe(obs, F.count(F.lit(1)).alias("delta"))
     (delta.write.mode("append").partitionBy(MONTH).parquet(base_path))
     n_delta = int(obs.get.get("delta", 0)) if obs.get else 0
-    return LoadResult(months=months, incoming=incoming, delta=n_delta)
+    return LoadResult(months=months, incoming=incoming, delta=n_delta, incoming_by_month=per_month)
 
 
 def write_fresh(df: DataFrame, base_path: str) -> None:
