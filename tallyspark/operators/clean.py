@@ -102,12 +102,10 @@ def parse_lines(lines: DataFrame, settings: Settings) -> DataFrame:
     df = lines.select(
         F.col("file_name"), F.col("line_no").cast("int").alias("line_no"), F.col("line"),
         *LAYOUT_COLUMNS, csv_record(F.col("line")).alias("rec"))
-    rec, width = F.col("rec"), F.col("width")
-    nulls = None
-    for i in range(MAX_COLS):
-        term = F.when((width > i) & rec[f"c{i}"].isNull(), 1).otherwise(0)
-        nulls = term if nulls is None else nulls + term
-    cells = cells_of(rec)
+    width = F.col("width")
+    nulls = F.expr(" + ".join(
+        f"CASE WHEN width > {i} AND rec.c{i} IS NULL THEN 1 ELSE 0 END" for i in range(MAX_COLS)))
+    cells = F.expr("array(" + ", ".join(f"rec.c{i}" for i in range(MAX_COLS)) + ")")
     df = df.select(
         "file_name", "line_no", "line", "width", "header_ok", nulls.alias("nulls"),
         F.get(cells, F.col("i_date")).alias("d_txt"), F.get(cells, F.col("i_part")).alias("p_txt"),

@@ -45,97 +45,98 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return balanced(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
-def _pick(words: tuple[str, ...], idx: Column) -> Column:
-    return F.get(F.array(*[F.lit(w) for w in words]), idx.cast("int"))
+def _sql_str(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _csv_cell(c: Column) -> Column:
-    quoted = F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
-    return F.coalesce(F.when(c.contains(",") | c.contains('"'), quoted).otherwise(c), F.lit(""))
+def _sql_array(words: tuple[str, ...]) -> str:
+    return "array(" + ", ".join(_sql_str(w) for w in words) + ")"
+
+
+def _csv_cell(c: str) -> str:
+    """SQL for one CSV cell: quoted when it holds a comma or quote, null -> empty."""
+    return (f"coalesce(CASE WHEN contains({c}, ',') OR contains({c}, '\"') "
+            f"THEN concat('\"', replace({c}, '\"', '\"\"'), '\"') ELSE {c} END, '')")
+
+
+def _line(cells: list[str]) -> str:
+    blank = _sql_str("," * (len(cells) - 1))
+    return f"CASE WHEN m = 0 THEN {blank} ELSE concat_ws(',', {', '.join(_csv_cell(c) for c in cells)}) END"
 
 
 def statement_lines(lineitem: DataFrame, settings: Settings) -> DataFrame:
-    """(file_name, line_no, line, header, bank) — one row per statement data line."""
+    """(file_name, line_no, line, header, bank) — one row per statement data line.
+
+    Written as Spark SQL expressions (``selectExpr``): each stage is one call
+    to the JVM instead of hundreds of Column-building round trips, and each
+    stage computes its values once for the next.
+    """
     axis_skip = settings.bank("axis").skip_rows
     hdfc_skip = settings.bank("hdfc").skip_rows
-    k, p, s, n = (F.col(c) for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
-    base = lineitem.select(
-        k.alias("k"), p.alias("p"), s.alias("s"), n.cast("bigint").alias("n"),
-        F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("cents"),
-        (F.col("l_returnflag") == "R").alias("credit"),
-        F.col("l_shipdate").alias("ship"))
-    k, p, s, n = F.col("k"), F.col("p"), F.col("s"), F.col("n")
-    # stage 1: per-line scalars, computed once (keeps generated code small)
-    base = base.select(
-        "*", ((k * 7 + n) % 97).alias("m"), (k % 5).alias("t"), ((s % 2) == 0).alias("axis"),
-        _pick(CAT_WORDS, p % len(CAT_WORDS)).alias("cat"),
-        _pick(PAY_WORDS, F.expr("s div 2") % len(PAY_WORDS)).alias("payee"))
-    m, t, axis, cat, payee = (F.col(c) for c in ("m", "t", "axis", "cat", "payee"))
-    bank = F.when(axis, "axis").otherwise("hdfc")
-    hcat = F.replace(cat, F.lit(" "), F.lit(""))
-    hpay = F.replace(payee, F.lit(" "), F.lit(""))
-    ks = k.cast("string")
-    ns = n.cast("string")
-
-    axis_part = (F.when(t == 0, F.concat(F.lit("ATM WDL "), ks))
-                  .when(t == 1, F.concat(F.lit("UPI/"), ks, F.lit("/"), payee, F.lit("/P2A/"), cat))
-                  .when(t == 2, F.concat(F.lit("UPI/P2M/"), ks, F.lit("/"), payee,
-                                         F.when(n % 2 == 0, F.lit("/ /")).otherwise(F.lit("/")),
-                                         cat, F.lit("/SBIN")))
-                  .when(t == 3, F.concat(F.lit("UPI/P2M/"), ks, F.lit("/"), payee, F.lit("/note "), ns,
-                                         F.lit("/"), cat, F.lit("/AXIS")))
-                  .otherwise(F.concat(F.lit("NEFT/"), ks, F.lit("/"), payee, F.lit("/x/y/"), cat,
-                                      F.lit("/z/w"))))
-    hdfc_part = (F.when(t.isin(1, 2), F.concat(F.lit("UPI-"), hpay, F.lit("-HDFC-"), ks, F.lit("-"), hcat))
-                  .when(t == 3, F.concat(F.lit("POS "), ks, F.lit(" "), hcat))
-                  .when(t == 0, F.concat(F.lit("NEFT-"), ks, F.lit("-"), hpay))
-                  .otherwise(F.concat(F.lit("IMPS-"), ks, F.lit("-"), hpay, F.lit("-REF-"), ns,
-                                      F.lit("-"), hcat)))
-    particulars = F.when(m == 8, F.lit(None).cast("string")).otherwise(
-        F.when(axis, axis_part).otherwise(hdfc_part))
-
-    dtxt = F.when(axis, F.date_format("ship", "dd-MM-yyyy")).otherwise(F.date_format("ship", "dd/MM/yy"))
-    base = base.select("*", particulars.alias("part_txt"), dtxt.alias("dtxt"))
-    particulars, dtxt = F.col("part_txt"), F.col("dtxt")
-    date_cell = (F.when(m == 1, F.lit("********"))
-                  .when(m == 2, F.concat(F.lit("Generated on "), dtxt))
-                  .when(m == 6, F.lit(None).cast("string"))
-                  .when(m == 7, F.concat(F.lit("31/02/"), F.date_format("ship", "yy")))
-                  .otherwise(dtxt))
-    cents = F.col("cents")
-    amt = F.concat(F.expr("cents div 100").cast("string"), F.lit("."),
-                   F.lpad((cents % 100).cast("string"), 2, "0"))
-    amt = (F.when(m == 3, F.lit("1,234.50"))
-            .when(m == 4, F.concat(F.expr("cents div 100").cast("string"), F.lit("d")))
-            .when(m == 5, F.lit("abc"))
-            .otherwise(amt))
-    base = base.select("*", date_cell.alias("date_cell"), amt.alias("amt"))
-    date_cell, amt = F.col("date_cell"), F.col("amt")
-    dr = F.when(~F.col("credit"), amt)
-    cr = F.when(F.col("credit"), amt)
-    bal = F.concat(((k * 13 + p) % 100000).cast("string"), F.lit(".00"))
-    chq = F.when((m.isin(6, 8) | (t == 4)) & (m != 9), ks)
-    ref = F.when(m != 9, F.lpad(ks, 10, "0"))
-    vdt = F.when(m != 9, dtxt)
-    axis_cells = [date_cell, chq, particulars, dr, cr, F.when(m != 9, bal)]
-    hdfc_cells = [date_cell, particulars, ref, vdt, dr, cr, bal]
-
-    def line(cells):
-        return F.when(m == 0, F.lit(",".join([""] * len(cells)))).otherwise(
-            F.concat_ws(",", *[_csv_cell(c) for c in cells]))
-
-    grp = F.lpad(F.expr(f"k div {FILE_GROUP}").cast("string"), 5, "0")
-    out = base.select(
-        F.concat(bank, F.lit("_stmt_"), grp, F.lit(".csv")).alias("file_name"),
-        F.explode(F.sequence(F.lit(1), F.when(m == 10, 2).otherwise(1))).alias("copy"),
-        (F.when(axis, axis_skip).otherwise(hdfc_skip) + 1 + ((k % FILE_GROUP) * 8 + n) * 2)
-        .alias("slot"),
-        F.when(axis, line(axis_cells)).otherwise(line(hdfc_cells)).alias("line"),
-        F.when(axis, F.lit(AXIS_HEADER)).otherwise(F.lit(HDFC_HEADER)).alias("header"),
-        bank.alias("bank"),
-    )
-    return out.select("file_name", (F.col("slot") + F.col("copy") - 1).cast("int").alias("line_no"),
-                      "line", "header", "bank")
+    df = lineitem.selectExpr(
+        "l_orderkey AS k", "l_partkey AS p", "l_suppkey AS s", "CAST(l_linenumber AS BIGINT) AS n",
+        "CAST(round(l_extendedprice * 100) AS BIGINT) AS cents", "l_returnflag = 'R' AS credit",
+        "l_shipdate AS ship")
+    df = df.selectExpr(
+        "*", "(k * 7 + n) % 97 AS m", "k % 5 AS t", "s % 2 = 0 AS axis",
+        f"get({_sql_array(CAT_WORDS)}, CAST(p % {len(CAT_WORDS)} AS INT)) AS cat",
+        f"get({_sql_array(PAY_WORDS)}, CAST((s div 2) % {len(PAY_WORDS)} AS INT)) AS payee")
+    df = df.selectExpr(
+        "*", "CAST(k AS STRING) AS ks", "CAST(n AS STRING) AS ns",
+        "replace(cat, ' ', '') AS hcat", "replace(payee, ' ', '') AS hpay",
+        "CASE WHEN axis THEN 'axis' ELSE 'hdfc' END AS bank",
+        "CASE WHEN axis THEN date_format(ship, 'dd-MM-yyyy') ELSE date_format(ship, 'dd/MM/yy') END AS dtxt")
+    df = df.selectExpr(
+        "*",
+        """CASE WHEN m = 8 THEN NULL WHEN axis THEN
+             CASE WHEN t = 0 THEN concat('ATM WDL ', ks)
+                  WHEN t = 1 THEN concat('UPI/', ks, '/', payee, '/P2A/', cat)
+                  WHEN t = 2 THEN concat('UPI/P2M/', ks, '/', payee,
+                                         CASE WHEN n % 2 = 0 THEN '/ /' ELSE '/' END, cat, '/SBIN')
+                  WHEN t = 3 THEN concat('UPI/P2M/', ks, '/', payee, '/note ', ns, '/', cat, '/AXIS')
+                  ELSE concat('NEFT/', ks, '/', payee, '/x/y/', cat, '/z/w') END
+           ELSE
+             CASE WHEN t IN (1, 2) THEN concat('UPI-', hpay, '-HDFC-', ks, '-', hcat)
+                  WHEN t = 3 THEN concat('POS ', ks, ' ', hcat)
+                  WHEN t = 0 THEN concat('NEFT-', ks, '-', hpay)
+                  ELSE concat('IMPS-', ks, '-', hpay, '-REF-', ns, '-', hcat) END
+           END AS part_txt""",
+        """CASE WHEN m = 1 THEN '********' WHEN m = 2 THEN concat('Generated on ', dtxt)
+                WHEN m = 6 THEN NULL WHEN m = 7 THEN concat('31/02/', date_format(ship, 'yy'))
+                ELSE dtxt END AS date_cell""",
+        """CASE WHEN m = 3 THEN '1,234.50' WHEN m = 4 THEN concat(CAST(cents div 100 AS STRING), 'd')
+                WHEN m = 5 THEN 'abc'
+                ELSE concat(CAST(cents div 100 AS STRING), '.', lpad(CAST(cents % 100 AS STRING), 2, '0'))
+           END AS amt""")
+    df = df.selectExpr(
+        "*", "CASE WHEN NOT credit THEN amt END AS dr", "CASE WHEN credit THEN amt END AS cr",
+        "concat(CAST((k * 13 + p) % 100000 AS STRING), '.00') AS bal",
+        "CASE WHEN (m IN (6, 8) OR t = 4) AND m != 9 THEN ks END AS chq",
+        "CASE WHEN m != 9 THEN lpad(ks, 10, '0') END AS ref",
+        "CASE WHEN m != 9 THEN dtxt END AS vdt")
+    axis_line = _line(["date_cell", "chq", "part_txt", "dr", "cr", "CASE WHEN m != 9 THEN bal END"])
+    hdfc_line = _line(["date_cell", "part_txt", "ref", "vdt", "dr", "cr", "bal"])
+    df = df.selectExpr(
+        f"concat(bank, '_stmt_', lpad(CAST(k div {FILE_GROUP} AS STRING), 5, '0'), '.csv') AS file_name",
+        "explode(sequence(1, CASE WHEN m = 10 THEN 2 ELSE 1 END)) AS copy",
+        f"CASE WHEN axis THEN {axis_skip} ELSE {hdfc_skip} END + 1 + ((k % {FILE_GROUP}) * 8 + n) * 2 AS slot",
+        f"CASE WHEN axis THEN {axis_line} ELSE {hdfc_line} END AS line",
+        f"CASE WHEN axis THEN {_sql_str(AXIS_HEADER)} ELSE {_sql_str(HDFC_HEADER)} END AS header",
+        "bank")
+    return df.selectExpr("file_name", "CAST(slot + copy - 1 AS INT) AS line_no", "line", "header", "bank")
+
+
+_LAYOUTS: dict = {}
+
+
+def _layouts(spark: SparkSession, settings: Settings) -> dict:
+    """Header layout of the two synthetic exports, interpreted once per process."""
+    from ..operators.clean import header_layout
+    if settings not in _LAYOUTS:
+        df = header_layout(spark.createDataFrame(
+            [("axis", AXIS_HEADER), ("hdfc", HDFC_HEADER)], "bank string, header string"), settings)
+        _LAYOUTS[settings] = {r["bank"]: r.asDict() for r in df.collect()}
+    return _LAYOUTS[settings]
 
 
 def statement_rows(lineitem: DataFrame, settings: Settings) -> DataFrame:
@@ -144,20 +145,17 @@ def statement_rows(lineitem: DataFrame, settings: Settings) -> DataFrame:
     The two synthetic layouts are interpreted by ``header_layout`` on a
     two-row table (bounded by the configured banks) and attached per bank.
     """
-    from ..operators.clean import LAYOUT_COLUMNS, header_layout
-    spark = lineitem.sparkSession
-    layouts = header_layout(spark.createDataFrame(
-        [("axis", AXIS_HEADER), ("hdfc", HDFC_HEADER)], "bank string, header string"), settings)
-    per_bank = {r["bank"]: r for r in layouts.collect()}
-    lines = statement_lines(lineitem, settings)
-    cols = {}
+    from ..operators.clean import LAYOUT_COLUMNS
+    per_bank = _layouts(lineitem.sparkSession, settings)
+
+    def lit(v):
+        return ("true" if v else "false") if isinstance(v, bool) else str(int(v))
+
+    cols = []
     for c in LAYOUT_COLUMNS:
-        expr = None
-        for bank, r in per_bank.items():
-            expr = (F.when(F.col("bank") == bank, F.lit(r[c])) if expr is None
-                    else expr.when(F.col("bank") == bank, F.lit(r[c])))
-        cols[c] = expr
-    return lines.drop("header").withColumns(cols).drop("bank")
+        cases = " ".join(f"WHEN bank = {_sql_str(b)} THEN {lit(r[c])}" for b, r in per_bank.items())
+        cols.append(f"CASE {cases} END AS {c}")
+    return statement_lines(lineitem, settings).selectExpr("file_name", "line_no", "line", *cols)
 
 
 def preamble_lines(lines: DataFrame, settings: Settings) -> DataFrame:
