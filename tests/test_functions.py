@@ -82,3 +82,11 @@ def test_lcs_bits_and_dp_agree_with_python(spark, pairs):
             fuzzy.lcs_dp(F.col("a"), F.col("b")).alias("dp")).first()
         want = fuzzy.lcs_py(r.a, r.b)
         assert got.bits == want and got.dp == want
+
+
+def test_keys_stable_under_repartition(spark):
+    from tallyspark.plans import catalog
+    rows = catalog.transformed_rows(spark, "/root/testdata/sf0.001", lineage=True)
+    a = rows.select("file_name", "line_no", "uuid")
+    b = rows.repartition(7, "particulars").select("file_name", "line_no", "uuid")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
