@@ -67,6 +67,8 @@ def route(batch: DataFrame, base_path: str, key: str = "uuid") -> LoadResult:
                  batch.groupBy(MONTH).agg(F.count(F.lit(1)).alias("n")).collect()}
     months = sorted(per_month)
     incoming = sum(per_month.values())
+    if incoming == 0:                       # nothing arrived: touch no table
+        return LoadResult(months=[], incoming=0, delta=0, incoming_by_month={})
     existing = read_existing(batch, base_path, months)
     delta = batch if existing is None else anti_join(batch, existing, key)
     obs = Observation("load")

@@ -115,3 +115,14 @@ def test_write_fresh_replaces_only_present_months(spark):
     after = spark.read.parquet(base)
     assert after.filter(F.col("month") == months[0]).count() == 1
     assert after.filter(F.col("month") != months[0]).count() == batch.filter(F.col("month") != months[0]).count()
+
+
+def test_empty_batch_touches_nothing_and_consolidation_reports(spark):
+    batch = catalog.batch_with_month(spark, SF).drop("file_name", "line_no").limit(0)
+    base = scratch_path(spark, "months")
+    res = load.route(batch, base)
+    assert res.delta == 0 and res.months == []
+    runs = scratch_path(spark, "runs")
+    with pytest.raises(ValueError):
+        run_consolidate(spark, DEFAULT, base, scratch_path(spark, "master"), runs)
+    assert [r.status for r in spark.read.parquet(runs).collect()] == ["FAILURE"]
