@@ -140,7 +140,7 @@ def _keep(parsed: DataFrame, cond: Column, cols: list[Column]) -> DataFrame:
     every intermediate expression substituted into it; a generator keeps the
     parse computed once per line.
     """
-    one = F.filter(F.array(F.struct(*cols)), lambda _: cond)
+    one = F.when(cond, F.array(F.struct(*cols)))       # null array -> no row
     return parsed.select(F.explode(one).alias("r")).select("r.*")
 
 
