@@ -71,9 +71,11 @@ def route(batch: DataFrame, base_path: str, key: str = "uuid") -> LoadResult:
         return LoadResult(months=[], incoming=0, delta=0, incoming_by_month={})
     existing = read_existing(batch, base_path, months)
     delta = batch if existing is None else anti_join(batch, existing, key)
+    # rebalance by month: AQE packs small months into few files and splits a
+    # hot month over several tasks, instead of every task writing every month
     obs = Observation("load")
-    delta = delta.observe(obs, F.count(F.lit(1)).alias("delta"))
-    (delta.write.mode("append").partitionBy(MONTH).parquet(base_path))
+    delta = delta.hint("rebalance", MONTH).observe(obs, F.count(F.lit(1)).alias("delta"))
+    delta.write.mode("append").partitionBy(MONTH).parquet(base_path)
     n_delta = int(obs.get.get("delta", 0)) if obs.get else 0
     return LoadResult(months=months, incoming=incoming, delta=n_delta, incoming_by_month=per_month)
 
@@ -82,7 +84,7 @@ def write_fresh(df: DataFrame, base_path: str) -> None:
     """Replace exactly the months present in ``df`` (dynamic partition overwrite)."""
     if MONTH not in df.columns:
         df = with_month(df)
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (df.hint("rebalance", MONTH).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(MONTH).parquet(base_path))
 
 
