@@ -32,6 +32,22 @@ class Taxonomy:
         return out
 
 
+# These must equal the original pipeline's behaviour.
+HEADER_RULES = (("date", "date"), ("narration", "particulars"),
+                ("withdrawal amt.", "dr"), ("deposit amt.", "cr"))
+NULL_THRESHOLD = 2
+MAX_FILES = 2
+FUZZY_THRESHOLD = 80
+MANUAL_LABEL = "MANUAL"
+UNSPECIFIED_LABEL = "Unspecified"
+NULL_CATEGORY = "unspecified"
+KEY_COLUMNS = ("date", "particulars", "dr", "cr")
+MIN_TXN_ID_LEN = 5
+INVALID_TXN_IDS = ("FOR", "TO", "BY", "ON", "AT", "THE", "AND", "FROM", "VIA")
+FILTER_APP_KEPT = ("Income", "Investment", "Debt Clearance")
+FILTER_APP_BLANK = ("Transfer",)
+
+
 @dataclass(frozen=True)
 class Settings:
     banks: tuple[BankProfile, ...]
@@ -40,27 +56,25 @@ class Settings:
     generic_categories: tuple[str, ...]
     salary_account: str
     salary_label: str = "Salary"
-    manual_label: str = "MANUAL"
-    unspecified_label: str = "Unspecified"
-    null_category: str = "unspecified"
+    manual_label: str = MANUAL_LABEL
+    unspecified_label: str = UNSPECIFIED_LABEL
+    null_category: str = NULL_CATEGORY
     null_payee: str = "none"
-    fuzzy_threshold: int = 80
+    fuzzy_threshold: int = FUZZY_THRESHOLD
     case_sensitive: bool = False
     normalize_map_keys: bool = False
-    null_threshold: int = 2
-    max_files: int = 2
+    null_threshold: int = NULL_THRESHOLD
+    max_files: int = MAX_FILES
     # header substring rules, applied in order, first hit renames the column
-    header_rules: tuple[tuple[str, str], ...] = (
-        ("date", "date"), ("narration", "particulars"),
-        ("withdrawal amt.", "dr"), ("deposit amt.", "cr"))
-    # rows of the category-resolution table above which the lookup is joined
-    # by shuffle instead of broadcast
+    header_rules: tuple[tuple[str, str], ...] = HEADER_RULES
+    # rows of the value -> label lookup above which it is joined by shuffle
+    # instead of broadcast
     max_broadcast_rows: int = 2_000_000
-    key_columns: tuple[str, ...] = ("date", "particulars", "dr", "cr")
-    min_txn_id_len: int = 5
-    invalid_txn_ids: tuple[str, ...] = ("FOR", "TO", "BY", "ON", "AT", "THE", "AND", "FROM", "VIA")
-    filter_app_kept: tuple[str, ...] = ("Income", "Investment", "Debt Clearance")
-    filter_app_blank: tuple[str, ...] = ("Transfer",)
+    key_columns: tuple[str, ...] = KEY_COLUMNS
+    min_txn_id_len: int = MIN_TXN_ID_LEN
+    invalid_txn_ids: tuple[str, ...] = INVALID_TXN_IDS
+    filter_app_kept: tuple[str, ...] = FILTER_APP_KEPT
+    filter_app_blank: tuple[str, ...] = FILTER_APP_BLANK
 
     def bank(self, name: str) -> BankProfile:
         for b in self.banks:
