@@ -126,3 +126,12 @@ def test_empty_batch_touches_nothing_and_consolidation_reports(spark):
     with pytest.raises(ValueError):
         run_consolidate(spark, DEFAULT, base, scratch_path(spark, "master"), runs)
     assert [r.status for r in spark.read.parquet(runs).collect()] == ["FAILURE"]
+
+
+def test_oversized_files_are_rejected_not_read(spark, inbox):
+    import dataclasses
+    small = dataclasses.replace(DEFAULT, max_file_bytes=1000)
+    lines = statements.read_statements(spark, inbox, small)
+    assert lines.count() == 0
+    big = statements.oversized(statements.list_statements(spark, inbox), small).collect()
+    assert big and all(r.reason == "file_too_large" for r in big)
