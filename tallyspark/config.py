@@ -46,6 +46,7 @@ MIN_TXN_ID_LEN = 5
 INVALID_TXN_IDS = ("FOR", "TO", "BY", "ON", "AT", "THE", "AND", "FROM", "VIA")
 FILTER_APP_KEPT = ("Income", "Investment", "Debt Clearance")
 FILTER_APP_BLANK = ("Transfer",)
+FILTER_APP_OTHER = "Expense"
 
 
 @dataclass(frozen=True)
@@ -78,6 +79,7 @@ class Settings:
     invalid_txn_ids: tuple[str, ...] = INVALID_TXN_IDS
     filter_app_kept: tuple[str, ...] = FILTER_APP_KEPT
     filter_app_blank: tuple[str, ...] = FILTER_APP_BLANK
+    filter_app_other: str = FILTER_APP_OTHER
 
     def bank(self, name: str) -> BankProfile:
         for b in self.banks:

@@ -356,7 +356,7 @@ delta AS (SELECT * FROM batch b WHERE NOT EXISTS (
 def _filter_app_sql(col: str = "Category") -> str:
     kept = " ".join(f"WHEN {col} = {oracle._q(v)} THEN {oracle._q(v)}" for v in DEFAULT.filter_app_kept)
     blank = ", ".join(oracle._q(v) for v in DEFAULT.filter_app_blank)
-    return f"CASE {kept} WHEN {col} IN ({blank}) THEN '' ELSE 'Expense' END"
+    return f"CASE {kept} WHEN {col} IN ({blank}) THEN '' ELSE {oracle._q(DEFAULT.filter_app_other)} END"
 
 
 def _lines_per_file_sql() -> str:
