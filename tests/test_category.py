@@ -70,3 +70,28 @@ def test_default_taxonomy_has_required_shapes():
     assert any(len(n) == 2 for n in norms)
     books = [l for l in labels if l.norm == "books"][0]
     assert books.category == "Education"
+
+
+def test_lookup_join_shuffle_branch_matches_broadcast(spark):
+    import dataclasses
+    from pyspark.sql import functions as F
+    from tallyspark.plans import catalog
+    rows = catalog.cleaned_rows(spark, "/root/testdata/sf0.001")
+    from tallyspark.operators import parse
+    df = parse.modify_salaried_record(parse.capitalize_raw_category(
+        parse.apply_raw_category_transformation(parse.clean_raw_category(
+            parse.data_preprocessor(rows, DEFAULT), DEFAULT), DEFAULT)), DEFAULT)
+    no_broadcast = dataclasses.replace(DEFAULT, max_broadcast_rows=0)
+    a = category.create_subcategory(df, DEFAULT, distinct=True)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # as for a lookup too big to broadcast
+    try:
+        b = category.create_subcategory(df, no_broadcast, distinct=True)
+        cols = ["particulars", "raw_category", "SubCategory"]
+        got_b = sorted(tuple(r) for r in b.select(cols).collect())
+        plan = b._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastExchange" not in plan
+    assert sorted(tuple(r) for r in a.select(cols).collect()) == got_b
+    assert len(got_b) == df.count()
