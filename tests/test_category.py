@@ -74,7 +74,6 @@ def test_default_taxonomy_has_required_shapes():
 
 def test_lookup_join_shuffle_branch_matches_broadcast(spark):
     import dataclasses
-    from pyspark.sql import functions as F
     from tallyspark.plans import catalog
     rows = catalog.cleaned_rows(spark, "/root/testdata/sf0.001")
     from tallyspark.operators import parse

@@ -1,7 +1,6 @@
 """Load, consolidation and the batch / streaming daily jobs on the smallest tables."""
 
 import os
-import time
 
 import pytest
 from pyspark.sql import functions as F
