@@ -14,9 +14,12 @@ def balanced(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     task; a round-robin repartition then lets the CPU-heavy parse use every
     core.
     """
-    sc = df.sparkSession.sparkContext
-    want = min_partitions or sc.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    # estimate the splits from the planner's size statistics (file sizes), no job
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    split = int(spark.conf.get("spark.sql.files.maxPartitionBytes", str(128 * 1024 * 1024)).rstrip("b"))
+    if size // max(split, 1) + 1 < want:
         return df.repartition(want)
     return df
 
