@@ -19,8 +19,10 @@ from ..sources.statements import statement_lines_from_files
 def start_daily_stream(spark: SparkSession, settings: Settings, paths: DailyPaths, checkpoint: str,
                        max_files_per_trigger: int | None = None, archive_dir: str | None = None):
     reader = spark.readStream
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    # S2 on the stream: the per-run file limit becomes a per-micro-batch limit,
+    # so a large backlog is drained in bounded batches instead of failing the run
+    per_trigger = max_files_per_trigger or settings.max_files
+    reader = reader.option("maxFilesPerTrigger", per_trigger)
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     # pass wholetext as an argument: the method's default would override an .option()
@@ -29,6 +31,9 @@ def start_daily_stream(spark: SparkSession, settings: Settings, paths: DailyPath
     files = raw.select(name.alias("file_name"), "value")
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
+        # the file stream has no size pre-filter: oversized exports are dropped
+        # here, after loading (the batch reader skips them before loading)
+        batch = batch.filter(F.length("value") <= settings.max_file_bytes)
         lines = statement_lines_from_files(batch, settings)
         load_lines(batch.sparkSession, lines, settings, paths)
 
