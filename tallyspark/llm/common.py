@@ -34,6 +34,12 @@ def sized(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFr
     return F.broadcast(df) if df.count() * row_bytes <= limit else df
 
 
+def sized_lists(df: DataFrame, column: str, item_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Like ``sized`` for rows that hold a list: the items are counted."""
+    rows, items = df.agg(F.count(F.lit(1)), F.sum(F.size(column))).first()
+    return F.broadcast(df) if rows * 64 + (items or 0) * item_bytes <= limit else df
+
+
 def map_rows(df: DataFrame, schema: str, make: Callable[[], Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]]],
              slice_rows: int = 256) -> DataFrame:
     """Arrow map over ``df``: ``make()`` runs once per task, its result once per slice of rows.

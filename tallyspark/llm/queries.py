@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
-from . import bpe, embed_dedup, pii, token_store, warc
+from . import bpe, embed_dedup, jaccard_join, pii, substring_dedup, token_store, warc
 from .common import ship_package, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,10 +36,18 @@ def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.positions(token_store.read(spark, path))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digest(table(spark, sf_dir, "documents"))
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(table(spark, sf_dir, "documents"))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.components_of(table(spark, sf_dir, "documents"))
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
@@ -49,7 +57,8 @@ def _shipped(query: Query) -> Query:
 
 
 QUERIES: dict[str, Query] = {q.__name__: _shipped(q) for q in (
-    op1_embedding_dedup, op2_bpe_round_trip, op4_warc, op5_token_store, op7_pii)}
+    op1_embedding_dedup, op2_bpe_round_trip, op4_warc, op5_token_store, op6_substring_dedup, op7_pii,
+    op9_jaccard_join)}
 
 #: SQL for those queries that SQL can express on whole tables.
 ORACLE: dict[str, str] = {}
