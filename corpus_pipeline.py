@@ -5,10 +5,27 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspark.llm import bpe, pii
+from tallyspark.llm import bpe, decontaminate, jaccard_join, pii, quality
 from tallyspark.llm.common import ship_package, stage, table
 
 
+def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the quality classifier keeps (operator 10)."""
+    ship_package(spark)
+    return quality.keep_good(docs)
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, the smallest id, of each group of near duplicates (operator 9)."""
+    ship_package(spark)
+    return jaccard_join.keep_one(docs)
+
+
+def unseen_in_tests(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that hold no benchmark item (operator 3)."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, its personal data masked (operator 7)."""
     ship_package(spark)
@@ -21,13 +38,15 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-STAGES = [("pii", personal_data), ("bpe", tokens)]
+STAGES = [("quality", good_documents), ("near-duplicates", one_of_each), ("decontamination", unseen_in_tests),
+          ("pii", personal_data), ("bpe", tokens)]
 
 #: SQL cannot express the learned and byte-level stages; tests hold the pipeline against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; each is written as Parquet and read again as the next one's documents."""
     docs = table(spark, sf_dir, "documents")
     for name, apply in STAGES[:-1]:
         docs = stage(apply(spark, docs, sf_dir), f"pipeline-{name}")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
-from . import bpe, embed_dedup, jaccard_join, pii, substring_dedup, token_store, warc
+from . import bpe, decontaminate, embed_dedup, jaccard_join, pii, quality, substring_dedup, token_store, toxicity, warc
 from .common import ship_package, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,10 @@ def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
                           public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.archive_pages(table(spark, sf_dir, "pages"), path)
@@ -44,10 +48,18 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.components_of(table(spark, sf_dir, "documents"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"))
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
@@ -57,8 +69,8 @@ def _shipped(query: Query) -> Query:
 
 
 QUERIES: dict[str, Query] = {q.__name__: _shipped(q) for q in (
-    op1_embedding_dedup, op2_bpe_round_trip, op4_warc, op5_token_store, op6_substring_dedup, op7_pii,
-    op9_jaccard_join)}
+    op1_embedding_dedup, op2_bpe_round_trip, op3_decontamination, op4_warc, op5_token_store, op6_substring_dedup,
+    op7_pii, op8_toxicity, op9_jaccard_join, op10_quality)}
 
 #: SQL for those queries that SQL can express on whole tables.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op3_decontamination": decontaminate.SQL}
