@@ -56,8 +56,8 @@ def votes(s: tuple[float, ...]) -> str:
     pick = lambda bad, good: "0" if bad else "1" if good else "-"
     return (pick(symbols > .05, symbols < .02) + pick(upper > .3, upper < .12 or n < 5) + pick(bars > .05, bars < .005)
             + pick(runs > .05, runs < .01) + (pick(triples < .5, triples > .75) if n >= 20 else "-")
-            + pick(echo > .15, echo < .05) + pick(length < 2.5 or length > 20, 3.5 < length < 14) + pick(digits > .25, digits < .1)
-            + pick(lone > .08, lone < .02) + pick(marks > .09, marks < .06)
+            + pick(echo > .15, echo < .05) + pick(length < 2.5 or length > 20, 3.5 < length < 14) + (pick(digits > .25, digits < .1) if n >= 30 else "-")
+            + pick(lone > .08, lone < .02) + (pick(marks > .09, marks < .06) if n >= 30 else "-")
             + (pick(distinct < .3, distinct > .36) if 15 <= n < 2000 else "-") + (pick(packed < .25, packed > .33) if size > 100 else "-"))
 
 

@@ -9,9 +9,8 @@ gathered from all documents.  The restored words are then scored.
 
 The scorer is learnt from counts over all labelled training documents: for each
 hashed feature of a word (the word, its beginnings of 3 to 7 letters) the
-documents of either label that hold it.  A word weighs as its longest feature
-that decides: one that toxic documents hold beyond chance, or that clean ones
-hold as well.  A logistic curve on the summed weights of a document's distinct words,
+documents of either label that hold it.  A word weighs as its most telling
+feature.  A logistic curve on the summed weights of a document's distinct words,
 fitted on counts per bin, gives the score.
 """
 
@@ -81,7 +80,7 @@ LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb",
         "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "£": "l"}
 #: Costs of reading a character as another letter; of skipping a repeated character, a separator, a
 #: character that may stand for a letter (a letter read costs two to three by the language model).
-SWAP, REPEAT, SKIP, SKIP_LEET = 0.7, 0.2, 1.2, 5.0
+SWAP, REPEAT, SKIP, SKIP_LEET = 0.7, 0.2, 1.2, 8.0
 _TRIPLE = re.compile(r"(.)\1\1")
 _APART = re.compile(r"(?<!\S)\S(?:[ ]\S){3,}(?!\S)")
 
@@ -150,77 +149,94 @@ class Restorer:
 
 
 # -------------------------------------------------------------------- scorer
-FEATURE_BITS, FEATURE_BLOCKS = 19, 64
-#: Likelihood ratio beyond chance (about 1 in 2e7 features); clean documents that clear a feature.
-BEYOND, CLEARED = 30.0, 2
+#: A feature has a bucket in each of ``ROWS`` tables of 2^BITS counts; a bucket that it shares by
+#: accident with a telling feature does not count unless all of its buckets do.
+ROWS, BITS, BLOCKS = 3, 19, 192
+#: Likelihood ratio beyond chance (about 1 in 2e7 features); least log odds of a telling feature.
+BEYOND, ODDS = 30.0, 5.0
 
 
 def features(word: str) -> list[int]:
-    """Buckets of a word, from the word itself down to its first three letters."""
-    names = ["=" + word, *("^" + word[:k] for k in range(min(7, len(word) - 1), 2, -1))]
-    return [xxhash.xxh3_64_intdigest(x) >> (64 - FEATURE_BITS) for x in names]
+    """Hashes of a word, and of its beginnings of 3 to 7 letters."""
+    names = ["=" + word, *("^" + word[:k] for k in range(min(7, len(word)), 2, -1))]
+    return [xxhash.xxh3_64_intdigest(x) for x in names]
+
+
+def _buckets(hashes: np.ndarray) -> np.ndarray:
+    """The bucket of each hash in every table, the tables laid end to end."""
+    mask = np.uint64((1 << BITS) - 1)
+    return np.stack([((hashes >> np.uint64(BITS * r)) & mask).astype(np.int64) + (r << BITS) for r in range(ROWS)])
 
 
 def feature_counts(df: DataFrame, costs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Documents of label 0 and of label 1 that hold each feature, of all rows of (text, toxic); last entry: all documents."""
-    size = 1 << FEATURE_BITS
+    """Documents of label 0 and of label 1 per bucket, and in all, of all rows of (text, toxic); of fixed size."""
+    size = ROWS << BITS
 
     def make():
         restore = Restorer(costs)
         memory = Generations(restore, 1 << 17)
-        cached = Generations(lambda w: np.array(features(w), np.int64), 1 << 17)
+        cached = Generations(lambda w: np.array(features(w), np.uint64), 1 << 17)
         counts = np.zeros(2 * size, np.int64)
-        total = np.zeros(64, np.int64)
+        total = np.zeros(2, np.int64)
 
         def step(batch):
             for t, label in zip(texts(batch.column(0)), batch.column(1).to_pylist()):
                 total[label] += 1
                 words = restore.words(t, memory)
                 if words:
-                    counts[np.unique(np.concatenate([cached[w] for w in words])) + label * size] += 1
+                    held = _buckets(np.unique(np.concatenate([cached[w] for w in words])))
+                    for row in held:  # a document counts once for a bucket
+                        counts[np.unique(row) + label * size] += 1
             return ()
 
         def close():
-            block, data = count_blocks(counts, 2 * FEATURE_BLOCKS, "<u4")
+            block, data = count_blocks(counts, 2 * BLOCKS, "<u4")
             yield pa.RecordBatch.from_arrays([block, data], ["block", "counts"])
-            yield pa.RecordBatch.from_arrays([pa.array([2 * FEATURE_BLOCKS], pa.int32()), pa.array([total.astype("<u4").tobytes()])],
+            yield pa.RecordBatch.from_arrays([pa.array([2 * BLOCKS], pa.int32()), pa.array([total.astype("<u4").tobytes()])],
                                              ["block", "counts"])
         step.close = close
         return step
 
     parts = stage(map_rows(df.select("text", "toxic"), "block int, counts binary", make), "toxicity-counts")
-    total = summed_counts(parts.filter(F.col("block") == 2 * FEATURE_BLOCKS).withColumn("block", F.lit(0)), 1, "<u4")
-    counts = summed_counts(parts.filter(F.col("block") < 2 * FEATURE_BLOCKS), 2 * FEATURE_BLOCKS, "<u4")
+    total = summed_counts(parts.filter(F.col("block") == 2 * BLOCKS).withColumn("block", F.lit(0)), 1, "<u4")
+    counts = summed_counts(parts.filter(F.col("block") < 2 * BLOCKS), 2 * BLOCKS, "<u4")
     counts = (counts if len(counts) else np.zeros(2 * size, np.int64)).reshape(2, size)
-    total = total if len(total) else np.zeros(2, np.int64)
-    return counts, total[:2]
-
+    return counts, total if len(total) else np.zeros(2, np.int64)
 
-def weights(counts: np.ndarray, total: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Per bucket: whether it decides about a word, and the word's weight then.
 
-    A feature speaks for toxicity if its odds are raised and a likelihood-ratio
-    test leaves no room for chance; it clears a word (weight 0) if clean documents
-    hold it too.  Any other feature is passed over for the next shorter one.
-    """
-    clean, toxic = counts.astype(float)
+def weights(counts: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """Log odds per bucket, 0 unless they are high and a likelihood-ratio test leaves no room for chance."""
+    clean, toxic = counts.astype(np.float32)
     if not total.all():
-        return np.zeros(len(clean), bool), np.zeros(len(clean), np.float32)
+        return np.zeros(len(clean), np.float32)
     both = clean + toxic
     share = total[1] / total.sum()
     with np.errstate(divide="ignore", invalid="ignore"):
         g = 2 * (np.where(toxic > 0, toxic * np.log(toxic / (both * share)), 0)
                  + np.where(clean > 0, clean * np.log(clean / (both * (1 - share))), 0))
     odds = np.log((toxic + .5) / (total[1] + 1)) - np.log((clean + .5) / (total[0] + 1))
-    speaks = (g > BEYOND) & (odds > 1.5)
-    return speaks | (clean >= CLEARED), np.where(speaks, odds, 0).astype(np.float32)
+    return np.where((g > BEYOND) & (odds > ODDS), odds, 0).astype(np.float32)
+
+
+class Weigher:
+    """Word -> the highest weight among its features; a feature's is the least of its buckets'."""
+
+    def __init__(self, weight: np.ndarray):
+        self.tables = [memoryview(t) for t in np.ascontiguousarray(weight.reshape(ROWS, -1))]
+
+    def __call__(self, word: str) -> float:
+        best, mask = 0.0, (1 << BITS) - 1
+        for h in features(word):
+            low = min(t[(h >> (BITS * r)) & mask] for r, t in enumerate(self.tables))
+            best = max(best, low)
+        return best
 
 
 #: Sums of weights are counted by quarter steps up to this bin.
 TOP_BIN = 200
 
 
-def raw_scores(df: DataFrame, costs: np.ndarray, held: np.ndarray, weight: np.ndarray) -> DataFrame:
+def raw_scores(df: DataFrame, costs: np.ndarray, weight: np.ndarray) -> DataFrame:
     """(doc_id, bin): quarter steps of the summed weights of each text's distinct restored words."""
     kind = df.schema["doc_id"].dataType.simpleString()
 
@@ -228,13 +244,7 @@ def raw_scores(df: DataFrame, costs: np.ndarray, held: np.ndarray, weight: np.nd
         restore = Restorer(costs)
         memory = Generations(restore, 1 << 17)
 
-        def weigh(word: str) -> float:
-            for b in features(word):
-                if held[b]:
-                    return float(weight[b])
-            return 0.0
-
-        known = Generations(weigh, 1 << 17)
+        known = Generations(Weigher(weight), 1 << 17)
 
         def step(batch):
             bins = [min(TOP_BIN, int(4 * sum(map(known.__getitem__, restore.words(t, memory))))) for t in texts(batch.column(1))]
@@ -279,8 +289,8 @@ def score(docs: DataFrame, labels: DataFrame, held_out: int = 2, folds: int = 4,
                     .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")))
     taught = stage(taught, "toxicity-labels")
     costs = language_model(trigram_counts(docs))
-    held, weight = weights(*feature_counts(docs.join(sized(taught, 16), "doc_id").select("text", "toxic"), costs))
-    raw = stage(raw_scores(docs, costs, held, weight), "toxicity-raw")
+    weight = weights(*feature_counts(docs.join(sized(taught, 16), "doc_id").select("text", "toxic"), costs))
+    raw = stage(raw_scores(docs, costs, weight), "toxicity-raw")
     per_bin = raw.join(sized(taught, 16), "doc_id").groupBy("bin", "toxic").count().collect()  # two rows a bin at most
     counts = np.zeros((2, TOP_BIN + 1))
     for b, toxic, n in per_bin:
