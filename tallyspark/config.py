@@ -71,9 +71,8 @@ class Settings:
     # rows of the value -> label lookup above which it is joined by shuffle
     # instead of broadcast
     max_broadcast_rows: int = 2_000_000
-    # a statement export is read whole (one row per file); larger files are
-    # not read but reported as rejects with reason 'file_too_large'
-    max_file_bytes: int = 256 * 1024 * 1024
+    # Only these files of the inbox are statements
+    file_glob: str = "*.{csv,txt,CSV,TXT}"
     key_columns: tuple[str, ...] = KEY_COLUMNS
     min_txn_id_len: int = MIN_TXN_ID_LEN
     invalid_txn_ids: tuple[str, ...] = INVALID_TXN_IDS

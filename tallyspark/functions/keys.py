@@ -14,8 +14,8 @@ from .text import py_strip
 
 
 def amount_key_text(c: Column) -> Column:
-    """decimal(18,2) -> '150.0' / '150.25' (trailing zero of the cents dropped)."""
-    return F.regexp_replace(c.cast("string"), "0$", "")
+    """Decimal -> '150.0' / '150.25' (two places, trailing zero of the cents dropped)."""
+    return F.regexp_replace(c.cast("decimal(18,2)").cast("string"), "0$", "")
 
 
 def _part(c: Column, dtype: str) -> Column:
@@ -28,9 +28,12 @@ def _part(c: Column, dtype: str) -> Column:
     return F.coalesce(F.lower(py_strip(txt)), F.lit(""))
 
 
+def row_digest(parts: list[tuple[Column, str]]) -> Column:
+    return F.sha2(F.concat_ws("|", *[_part(c, t) for c, t in parts]), 256)
+
+
 def row_key(parts: list[tuple[Column, str]], width: int = 16) -> Column:
-    text = F.concat_ws("|", *[_part(c, t) for c, t in parts])
-    return F.substring(F.sha2(text, 256), 1, width)
+    return F.substring(row_digest(parts), 1, width)
 
 
 def txn_key(txn_id: Column, fallback: Column, min_len: int, stop_words: tuple[str, ...]) -> Column:

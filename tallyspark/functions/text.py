@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Python's str.strip() removes any whitespace; Spark's trim() only spaces.
-_EDGE_WS = r"^\s+|\s+$"
+# Python's str.strip() removes any Unicode whitespace; Spark's trim() only spaces.
+_EDGE_WS = r"(?U)^\s+|\s+$"
 # A plain number as pandas.to_numeric accepts it: no thousands separators,
 # no unit suffixes.  Anything else is "not a number" and becomes null.
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 # Day-first dates: d/M/yy, d-M-yyyy, d.M.yy ...
 _DAY_FIRST = r"^\s*(\d{1,2})[/.-](\d{1,2})[/.-](\d{4}|\d{2})\s*$"
+# A time of day after a date, as timestamps in exports carry it.
+_TIME = r"[ T]+\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?\s*$"
+# Month names: 01-Apr-2026, 1 April 26.
+_MONTH_NAME = r"^\s*(\d{1,2})[ /.-]*([A-Za-z]{3})[A-Za-z]*[ /.,-]*(\d{4}|\d{2})\s*$"
 # Two-digit years below the pivot are 20yy, the rest 19yy (POSIX %y rule).
 YEAR_PIVOT = 69
 
@@ -30,25 +34,30 @@ def capitalize(c: Column) -> Column:
 
 
 def amount(c: Column, dtype: str = "decimal(18,2)") -> Column:
-    """Text amount -> decimal; '1,234.50', '12d', 'abc' -> null."""
-    return F.when(c.rlike(_NUMBER), F.trim(c).try_cast(dtype))
+    """Text amount -> decimal; '1,234.50', '12d', 'abc' -> null, as is a value that ``dtype`` cannot hold exactly."""
+    exact = F.trim(c).try_cast(dtype)
+    return F.when(c.rlike(_NUMBER) & (exact == F.trim(c).try_cast("decimal(38,18)")), exact)
 
 
 def bad_amount(c: Column) -> Column:
-    """True when a non-blank amount cell is not a plain number."""
-    return c.isNotNull() & (py_strip(c) != "") & ~c.rlike(_NUMBER)
+    """True when a non-blank amount cell gives no amount."""
+    return F.coalesce(py_strip(c) != "", F.lit(False)) & amount(c).isNull()
 
 
 def day_first_date(c: Column) -> Column:
     """Day-first text date -> DateType; impossible dates (31/02) -> null.
 
-    d/M/yy, d-M-yyyy, d.M.yy ... are rewritten to y-M-d by one regex replace
-    (ISO text passes through unchanged) and parsed strictly.
+    d/M/yy, d-M-yyyy, d.M.yy, d-MMM-yyyy, d MMMM yy ... are rewritten to y-M-d
+    (ISO text passes through unchanged) and parsed strictly; a time of day is
+    dropped.
     """
-    ymd = F.regexp_replace(c, _DAY_FIRST, "$3-$2-$1")
+    day = F.regexp_replace(c, _TIME, "")
+    named = F.concat(F.regexp_extract(day, _MONTH_NAME, 3), F.lit("-"),
+                     F.initcap(F.regexp_extract(day, _MONTH_NAME, 2)), F.lit("-"), F.regexp_extract(day, _MONTH_NAME, 1))
+    ymd = F.when(day.rlike(_MONTH_NAME), named).otherwise(F.regexp_replace(day, _DAY_FIRST, "$3-$2-$1"))
     century = F.when(F.substring(ymd, 1, 2) < F.lit(f"{YEAR_PIVOT:02d}"), F.lit("20")).otherwise(F.lit("19"))
     full = F.when(ymd.rlike(r"^\d{2}-"), F.concat(century, ymd)).otherwise(F.trim(ymd))
-    return F.try_to_date(full, "y-M-d")
+    return F.coalesce(F.try_to_date(full, "y-M-d"), F.try_to_date(full, "y-MMM-d"))
 
 
 def safe_contains(c: Column, needle: str) -> Column:

@@ -14,21 +14,19 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..config import Settings
 from ..functions.text import amount, bad_amount, day_first_date, py_strip, safe_contains
 
-MAX_COLS = 16
-_CSV_SCHEMA = ", ".join(f"c{i} STRING" for i in range(MAX_COLS))
-
 CLEAN_COLUMNS = ["date", "particulars", "dr", "cr", "bank"]
 REJECT_COLUMNS = ["file", "line_no", "raw", "reason"]
 
-
-def csv_record(line: Column) -> Column:
-    """CSV text -> struct of MAX_COLS string cells; empty cells are null."""
-    return F.from_csv(line, _CSV_SCHEMA)
+# One cell after its comma: quoted (doubled quotes inside), or anything up to the next comma.
+_CELL = r',("[^"]*+(?:""[^"]*+)*+"[^,]*|[^,]*)'
 
 
-def cells_of(rec: Column) -> Column:
-    """Struct from ``csv_record`` (a column reference) -> array<string>."""
-    return F.array(*[rec[f"c{i}"] for i in range(MAX_COLS)])
+def csv_cells(line: Column) -> Column:
+    """CSV text -> array of its cells, however many; empty cells are null, doubled quotes one quote."""
+    def value(cell):
+        inner = F.replace(F.regexp_replace(cell, r'(?s)^"(.*)"[^"]*$', "$1"), F.lit('""'), F.lit('"'))
+        return F.when(cell.startswith('"') & (F.length(cell) > 1), inner).when(cell != "", cell)
+    return F.transform(F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_CELL), F.lit(1)), value)
 
 
 def unify_headers(header_cells: Column, settings: Settings) -> Column:
@@ -61,16 +59,13 @@ def bank_profile(file_name: Column, settings: Settings) -> Column:
 def header_layout(df: DataFrame, settings: Settings, header_col: str = "header") -> DataFrame:
     """Interpret a header line once (per file, or per distinct layout).
 
-    Adds ``width`` (number of named columns), the 0-based positions of the
+    Adds ``width`` (number of header cells), the 0-based positions of the
     unified date / particulars / dr / cr columns, and ``header_ok`` (each of
     the four present exactly once; several ``date`` columns is an error).
     """
-    df = df.withColumn("__h", csv_record(F.col(header_col)))
-    hcells = cells_of(F.col("__h"))
-    df = df.withColumns({
-        "__names": unify_headers(hcells, settings),
-        "width": F.size(F.filter(hcells, lambda h: h.isNotNull())),
-    })
+    df = df.withColumn("__h", csv_cells(F.col(header_col)))
+    hcells = F.col("__h")
+    df = df.withColumns({"__names": unify_headers(hcells, settings), "width": F.size(hcells)})
 
     def pos(name: str) -> Column:
         return F.array_position(F.col("__names"), name).cast("int") - 1
@@ -91,23 +86,23 @@ def header_layout(df: DataFrame, settings: Settings, header_col: str = "header")
 LAYOUT_COLUMNS = ["width", "i_date", "i_part", "i_dr", "i_cr", "header_ok"]
 
 
-def parse_lines(lines: DataFrame, settings: Settings) -> DataFrame:
+def parse_lines(lines: DataFrame, settings: Settings, keep: tuple[str, ...] = ()) -> DataFrame:
     """All P-steps as staged projections; adds ``reason`` (null for clean rows).
 
     Input columns: ``file_name, line_no, line`` plus the layout columns from
     ``header_layout``.  Each stage computes a value once and later stages
     refer to it by name, so the optimized plan stays linear in size and the
-    per-line work is one CSV parse plus codegen'd scalar expressions.
+    per-line work is one CSV parse plus codegen'd scalar expressions.  ``keep``
+    names further columns to pass through (the file's identity).
     """
     df = lines.select(
         F.col("file_name"), F.col("line_no").cast("int").alias("line_no"), F.col("line"),
-        *LAYOUT_COLUMNS, csv_record(F.col("line")).alias("rec"))
-    width = F.col("width")
-    nulls = F.expr(" + ".join(
-        f"CASE WHEN width > {i} AND rec.c{i} IS NULL THEN 1 ELSE 0 END" for i in range(MAX_COLS)))
-    cells = F.expr("array(" + ", ".join(f"rec.c{i}" for i in range(MAX_COLS)) + ")")
+        *LAYOUT_COLUMNS, *keep, csv_cells(F.col("line")).alias("cells"))
+    width, cells = F.col("width"), F.col("cells")
+    # a missing cell counts as null
+    nulls = width - F.size(F.filter(F.slice(cells, 1, F.greatest(width, F.lit(0))), lambda c: c.isNotNull()))
     df = df.select(
-        "file_name", "line_no", "line", "width", "header_ok", nulls.alias("nulls"),
+        "file_name", "line_no", "line", "width", "header_ok", *keep, nulls.alias("nulls"),
         F.get(cells, F.col("i_date")).alias("d_txt"), F.get(cells, F.col("i_part")).alias("p_txt"),
         F.get(cells, F.col("i_dr")).alias("dr_txt"), F.get(cells, F.col("i_cr")).alias("cr_txt"))
     d_txt, p_txt, dr_txt, cr_txt = (F.col(c) for c in ("d_txt", "p_txt", "dr_txt", "cr_txt"))
@@ -130,7 +125,7 @@ def parse_lines(lines: DataFrame, settings: Settings) -> DataFrame:
                .when(F.col("profile").isNull() | (F.col("bank") != F.col("profile")),
                      "unknown_bank"))                                             # P10 / S4
     return df.select("file_name", "line_no", "line", "date", p_txt.alias("particulars"),
-                     "dr", "cr", "bank", reason.alias("reason"))
+                     "dr", "cr", "bank", *keep, reason.alias("reason"))
 
 
 def _keep(parsed: DataFrame, cond: Column, cols: list[Column]) -> DataFrame:
@@ -140,8 +135,8 @@ def _keep(parsed: DataFrame, cond: Column, cols: list[Column]) -> DataFrame:
     every intermediate expression substituted into it; a generator keeps the
     parse computed once per line.
     """
-    one = F.when(cond, F.array(F.struct(*cols)))       # null array -> no row
-    return parsed.select(F.explode(one).alias("r")).select("r.*")
+    one = F.when(cond, F.array(F.struct(*cols)))       # null array -> null row
+    return parsed.select(F.explode_outer(one).alias("r")).filter("r is not null").select("r.*")
 
 
 def cleaned(parsed: DataFrame, lineage: bool = False) -> DataFrame:
@@ -150,11 +145,7 @@ def cleaned(parsed: DataFrame, lineage: bool = False) -> DataFrame:
     return _keep(parsed, F.col("reason").isNull(), [F.col(c) for c in cols])
 
 
-def rejects(parsed: DataFrame) -> DataFrame:
+def rejects(parsed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return _keep(parsed, F.col("reason").isNotNull(), [
-        F.col("file_name").alias("file"), F.col("line_no"), F.col("line").alias("raw"), F.col("reason")])
-
-
-def data_cleaner(lines: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]:
-    parsed = parse_lines(lines, settings)
-    return cleaned(parsed), rejects(parsed)
+        F.col("file_name").alias("file"), F.col("line_no"), F.col("line").alias("raw"), F.col("reason"),
+        *[F.col(c) for c in keep]])

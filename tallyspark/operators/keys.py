@@ -2,29 +2,48 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DateType, DecimalType, StringType, TimestampType
 
-from ..config import Settings
-from ..functions.keys import row_key, txn_key
+from ..config import KEY_COLUMNS, Settings
+from ..functions.keys import row_digest, row_key, txn_key
 
+_WANTED = {"date": "date", "particulars": "string", "dr": "decimal", "cr": "decimal"}
+_KINDS = {DateType: "date", TimestampType: "date", StringType: "string", DecimalType: "decimal"}
 
-def _dtype_kind(df: DataFrame, c: str) -> str:
-    t = dict(df.dtypes)[c]
-    return "date" if t in ("date", "timestamp") else t
+
+def key_parts(df: DataFrame, columns: tuple[str, ...]) -> list[tuple[Column, str]]:
+    """K2: the key columns with their kinds; a schema that cannot give stable keys is refused.
+
+    Keys are made of dates, text and decimals of 2 places at most; binary floating
+    point and integers have other texts for the same amount.
+    """
+    faults, parts = [], []
+    for c in columns:
+        kind = next((f.dataType for f in df.schema if f.name == c), None)
+        name = _KINDS.get(type(kind))
+        if name is None or name != _WANTED.get(c, name) or (name == "decimal" and kind.scale > 2):
+            faults.append(f"{c}: {'absent' if kind is None else kind.simpleString()}")
+        parts.append((F.col(c), name or ""))
+    if faults:
+        raise ValueError("no row key can be built from " + ", ".join(faults))
+    return parts
 
 
 def build_unique_key(df: DataFrame, settings: Settings, unique_key: str = "uuid") -> DataFrame:
-    """K1 with the K2 column check (driver side, on the schema only)."""
-    missing = [c for c in settings.key_columns if c not in df.columns]
-    if missing:
-        raise ValueError(f"Missing required columns: {missing}")
-    parts = [(F.col(c), _dtype_kind(df, c)) for c in settings.key_columns]
-    return df.withColumn(unique_key, row_key(parts))
+    """K1 with the K2 check (driver side, on the schema only)."""
+    return df.withColumn(unique_key, row_key(key_parts(df, settings.key_columns)))
+
+
+def row_digest_of(df: DataFrame, key: str, columns: tuple[str, ...] = KEY_COLUMNS) -> Column:
+    """The whole digest behind the 16-character key, for comparisons; the key itself where its columns are absent."""
+    if set(columns) <= set(df.columns):
+        return row_digest(key_parts(df, columns))
+    return F.col(key)
 
 
 def build_txn_key(df: DataFrame, settings: Settings, unique_key: str = "uuid",
                   txn_col: str = "transaction_no") -> DataFrame:
     """D-K: transaction id when >= min length and not a stop word, else the K1 hash."""
-    parts = [(F.col(c), _dtype_kind(df, c)) for c in settings.key_columns]
-    return df.withColumn(unique_key, txn_key(F.col(txn_col), row_key(parts),
+    return df.withColumn(unique_key, txn_key(F.col(txn_col), row_key(key_parts(df, settings.key_columns)),
                                              settings.min_txn_id_len, settings.invalid_txn_ids))

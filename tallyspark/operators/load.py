@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from ..sources.paths import exists
+from .keys import row_digest_of
 from .parse import month_of
 
 MONTH = "month"
@@ -26,11 +27,15 @@ def with_month(df: DataFrame, date_col: str = "date") -> DataFrame:
 def anti_join(new: DataFrame, existing: DataFrame, key: str = "uuid") -> DataFrame:
     """Rows of ``new`` whose (month, key) is not in ``existing``.
 
-    Duplicates inside ``new`` are kept.  The keys side is read with only the
-    two join columns; Catalyst/AQE choose broadcast or shuffle from its
-    measured size, and the key hash spreads any one month over all tasks.
+    Duplicates inside ``new`` are kept.  The key is a prefix of a digest; two rows
+    are the same only if the whole digest agrees, so a collision drops no row.
+    The other side is read with the key's columns only; Catalyst/AQE choose
+    broadcast or shuffle from its measured size, and the key hash spreads any one
+    month over all tasks.
     """
-    return new.join(existing.select(MONTH, key), [MONTH, key], "left_anti")
+    old = existing.select(MONTH, key, row_digest_of(existing, key).alias("__digest"))
+    return (new.withColumn("__digest", row_digest_of(new, key))
+               .join(old, [MONTH, key, "__digest"], "left_anti").select(*new.columns))
 
 
 def batch_months(batch: DataFrame) -> list[str]:

@@ -47,6 +47,13 @@ def transformed_rows(spark: SparkSession, sf_dir: str, s: Settings = DEFAULT,
                         stage=lambda d: materialize(d, "prepared"))
 
 
+def parsed_rows(spark: SparkSession, sf_dir: str, s: Settings = DEFAULT) -> DataFrame:
+    """T1-T11 over the cleaned rows, without the category step and keys."""
+    df = parse.clean_raw_category(parse.data_preprocessor(cleaned_rows(spark, sf_dir, s), s), s)
+    df = parse.capitalize_raw_category(parse.apply_raw_category_transformation(df, s))
+    return parse.modify_salaried_record(df, s)
+
+
 def _flat(df: DataFrame) -> DataFrame:
     """Array column rendered as text so results compare across engines."""
     return df.withColumn("split", F.array_join("split", "|"))
@@ -132,7 +139,7 @@ def _write_inbox(spark, sf_dir) -> str:
 def q_statement_files(spark, sf_dir):
     """S3 + S4 + S5 + S6: statement exports read back from files, cleaned."""
     inbox = _write_inbox(spark, sf_dir)
-    lines = statements.read_statements(spark, inbox, DEFAULT)
+    lines, _ = statements.read_statements(spark, inbox, DEFAULT, DEFAULT.file_glob)
     return clean.cleaned(clean.parse_lines(lines, DEFAULT), lineage=True).drop("line_no")
 
 
@@ -187,17 +194,17 @@ def q_dedup(spark, sf_dir):
 
 def q_banks(spark, sf_dir):
     """G1."""
-    return report.distinct_banks(transformed_rows(spark, sf_dir))
+    return report.distinct_banks(cleaned_rows(spark, sf_dir))
 
 
 def q_months(spark, sf_dir):
     """G2."""
-    return report.distinct_months(transformed_rows(spark, sf_dir))
+    return report.distinct_months(parsed_rows(spark, sf_dir))
 
 
 def q_source_months(spark, sf_dir):
     """G4."""
-    b = batch_with_month(spark, sf_dir).withColumnRenamed("month", "source_month")
+    b = load.with_month(parsed_rows(spark, sf_dir)).withColumnRenamed("month", "source_month")
     return report.count_distinct_months(b)
 
 
@@ -214,14 +221,14 @@ def q_export(spark, sf_dir):
 
 def q_token_layouts(spark, sf_dir):
     """Token counts, manual flag and transaction type per bank."""
-    return (transformed_rows(spark, sf_dir)
+    return (parsed_rows(spark, sf_dir)
             .groupBy("bank", "len_split", "is_manual", "transaction_type")
             .agg(F.count(F.lit(1)).alias("rows")))
 
 
 def q_salary(spark, sf_dir):
     """Salary rows per (shifted) month."""
-    df = transformed_rows(spark, sf_dir)
+    df = parsed_rows(spark, sf_dir)
     return (df.groupBy(parse.month_of(F.col("date")).alias("month"),
                        (F.col("raw_category") == DEFAULT.salary_label).alias("is_salary"))
               .agg(F.count(F.lit(1)).alias("rows"), F.min("date").alias("first_date")))
@@ -240,7 +247,7 @@ def q_summary_view(spark, sf_dir):
 
 def q_month_pivot(spark, sf_dir):
     """D-V: debit totals pivoted by month."""
-    return report.month_pivot_view(transformed_rows(spark, sf_dir))
+    return report.month_pivot_view(transformed_rows(spark, sf_dir), PIVOT_MONTHS)
 
 
 def q_fuzzy(spark, sf_dir):
@@ -265,13 +272,58 @@ def q_stream_daily(spark, sf_dir):
     from ..streaming.daily import start_daily_stream
     paths = _daily_paths(spark, _write_inbox(spark, sf_dir))
     q = start_daily_stream(spark, DEFAULT, paths, scratch_path(spark, "stream-ckpt"),
-                           max_files_per_trigger=8)
+                           max_files_per_trigger=8)   # no key spans two files here
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return _flat(spark.read.parquet(paths.months))
 
 
+def q_latest_month(spark, sf_dir):
+    """U2 (D3): keys that span two months and differ in another column; the later month wins."""
+    batch = batch_with_month(spark, sf_dir)
+    late = _seed(batch).withColumns({
+        "month": F.date_format(F.add_months(F.concat("month", F.lit("-01")).cast("date"), 1), "yyyy-MM"),
+        "payment_to": F.concat(F.lit("late "), "payment_to")})
+    both = batch.unionByName(late).drop("file_name", "line_no").withColumnRenamed("month", "source_month")
+    return _flat(consolidate.deduplicate(both))
+
+
+def q_fresh_write(spark, sf_dir):
+    """Months written, then those of even years replaced by their debits."""
+    batch = batch_with_month(spark, sf_dir).drop("file_name", "line_no")
+    base = scratch_path(spark, "months")
+    load.write_fresh(batch, base)
+    load.write_fresh(batch.filter(F.col("dr").isNotNull() & (F.substring("month", 1, 4).cast("int") % 2 == 0)), base)
+    return _flat(spark.read.parquet(base))
+
+
+def q_file_guard(spark, sf_dir):
+    """More files than allowed stop the run, which is reported with their number."""
+    paths = _daily_paths(spark, _write_inbox(spark, sf_dir))
+    try:
+        run_daily(spark, DEFAULT, paths, max_files=1)
+    except RuntimeError:
+        pass
+    return spark.read.parquet(paths.runs).select(
+        "pipeline", "status", F.regexp_extract("error", r"^(\d+) input files", 1).cast("bigint").alias("files"))
+
+
+def q_balance(spark, sf_dir):
+    """Clean rows and rejects of a daily run; together they are all lines of the files."""
+    inbox = _write_inbox(spark, sf_dir)
+    paths = _daily_paths(spark, inbox)
+    run_daily(spark, DEFAULT, paths, max_files=10**9)
+    run_daily(spark, DEFAULT, paths, max_files=10**9)   # nothing new: no reject is logged twice
+    clean_rows = spark.read.parquet(paths.months).agg(F.count(F.lit(1)).alias("clean"))
+    rejected = spark.read.parquet(paths.rejects).groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
+    return rejected.unionByName(clean_rows.select(F.lit("clean").alias("reason"), F.col("clean").alias("rows")))
+
+
+#: Columns of the month pivot: a fixed list, so that the result has one schema whatever the data.
+PIVOT_MONTHS = [f"{y}-{m:02d}" for y in range(1994, 2004) for m in range(1, 13)]
+
+
 QUERIES: dict[str, Query] = {
     "E3_monthly_category": q_monthly_category,
     "P_clean": q_clean,
@@ -301,6 +353,10 @@ QUERIES: dict[str, Query] = {
     "C5_fuzzy": q_fuzzy,
     "F2_run_report": q_run_report,
     "E1_stream_daily": q_stream_daily,
+    "U2_latest_month": q_latest_month,
+    "S8_fresh_write": q_fresh_write,
+    "S2_file_guard": q_file_guard,
+    "D4_balance": q_balance,
 }
 
 
@@ -422,9 +478,24 @@ FROM transformed"""),
 SELECT Category, SubCategory, count(*) AS n_txn, CAST(sum(dr) AS DECIMAL(38,2)) AS total_dr,
        CAST(sum(cr) AS DECIMAL(38,2)) AS total_cr
 FROM transformed GROUP BY ROLLUP (Category, SubCategory)"""),
-    "DV_month_pivot": _transformed_select(""",
-m AS (SELECT Category, strftime(date, '%Y-%m') AS month, dr FROM transformed)
-PIVOT m ON month USING CAST(sum(dr) AS DECIMAL(38,2)) GROUP BY Category"""),
+    "DV_month_pivot": _transformed_select("SELECT Category, " + ", ".join(
+        f"CAST(sum(dr) FILTER (WHERE strftime(date, '%Y-%m') = '{m}') AS DECIMAL(38,2)) AS \"{m}\"" for m in PIVOT_MONTHS)
+        + " FROM transformed GROUP BY Category"),
+    "U2_latest_month": _transformed_select(_BATCH + f""",
+both_ AS (SELECT {TRANSFORMED_TEXT_COLS}, month AS source_month FROM batch
+  UNION ALL SELECT {TRANSFORMED_TEXT_COLS.replace("payment_to", "'late ' || payment_to AS payment_to")},
+         strftime(CAST(month || '-01' AS DATE) + INTERVAL 1 MONTH, '%Y-%m') FROM seed),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY uuid ORDER BY source_month DESC) AS rk FROM both_)
+SELECT * EXCLUDE (rk) FROM ranked WHERE rk = 1"""),
+    "S8_fresh_write": _transformed_select(_BATCH + f"""
+SELECT {TRANSFORMED_TEXT_COLS}, month FROM batch
+WHERE dr IS NOT NULL OR month NOT IN (SELECT month FROM batch WHERE dr IS NOT NULL AND CAST(substr(month, 1, 4) AS INTEGER) % 2 = 0)"""),
+    "S2_file_guard": "WITH " + oracle.synth_cte().strip() + """
+SELECT 'ETL' AS pipeline, 'FAILURE' AS status, count(DISTINCT file_name) AS files FROM rows""",
+    "D4_balance": "WITH " + oracle.synth_cte().strip() + f""",
+all_lines AS (SELECT m FROM rows, (SELECT unnest([1, 2]) AS copy) c WHERE c.copy = 1 OR m = 10)
+SELECT CASE WHEN m BETWEEN 0 AND 9 THEN {oracle.reject_reason_sql()} ELSE 'clean' END AS reason, count(*) AS rows
+FROM all_lines GROUP BY ALL""",
 })
 
 
@@ -439,9 +510,9 @@ WHERE rk = 1"""
 ORACLE.update({
     "C5_fuzzy": _fuzzy_sql(),
     "F2_run_report": _transformed_select(_BATCH + """
-SELECT 'ETL' AS pipeline, 'SUCCESS' AS status, count(*) AS rows, CAST(2 AS BIGINT) AS groups,
+SELECT 'ETL' AS pipeline, 'SUCCESS' AS status, count(*) AS rows, count(DISTINCT bank) AS groups,
        count(*) AS delta FROM batch
-UNION ALL SELECT 'ETL', 'SUCCESS', count(*), CAST(2 AS BIGINT), CAST(0 AS BIGINT) FROM batch"""),
+UNION ALL SELECT 'ETL', 'SUCCESS', count(*), count(DISTINCT bank), CAST(0 AS BIGINT) FROM batch"""),
     "E1_stream_daily": _transformed_select(_BATCH + f"""
 SELECT {TRANSFORMED_TEXT_COLS}, month FROM batch"""),
 })

@@ -20,6 +20,15 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.parquet(path)
 
 
+#: Bytes of counted rows up to which a side is broadcast.
+BROADCAST_BYTES = 32 << 20
+
+
+def size_checked(df: DataFrame, row_bytes: int) -> DataFrame:
+    """``df`` (already materialised) with a broadcast hint when its counted rows fit, else unchanged."""
+    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
+
+
 def size_checked_join(big: DataFrame, small: DataFrame, cond: Column, max_rows: int,
                       how: str = "left") -> DataFrame:
     """Join ``small`` onto ``big``; broadcast only when ``small`` is proven small.

@@ -11,7 +11,6 @@ fold), so agreement is a real check.
 from __future__ import annotations
 
 from ..config import DEFAULT, Settings
-from ..operators.category import label_table
 from .synth import CAT_WORDS, FILE_GROUP, PAY_WORDS
 
 
@@ -23,7 +22,8 @@ def _list(words) -> str:
     return "[" + ", ".join(_q(w) for w in words) + "]"
 
 
-STRIP = "regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+_WS = "[\\s\\x0B\\x{{85}}\\x{{A0}}\\x{{1680}}\\x{{2000}}-\\x{{200A}}\\x{{2028}}\\x{{2029}}\\x{{202F}}\\x{{205F}}\\x{{3000}}]"
+STRIP = "regexp_replace({x}, '^" + _WS + "+|" + _WS + "+$', '', 'g')"
 
 
 def strip(x: str) -> str:
@@ -87,10 +87,13 @@ def reject_reason_sql() -> str:
 
 
 def labels_cte(s: Settings = DEFAULT) -> str:
-    rows = ", ".join(
-        f"({_q(l.norm)}, {_q(l.label)}, {l.ord}, {_q(l.category)}, {_q(l.sorted)})"
-        for l in label_table(s))
-    return f"labels(norm, label, ord, category, srt) AS (VALUES {rows})"
+    """Labels from the raw taxonomy pairs: of a label under several parents the last parent wins."""
+    rows = ", ".join(f"({ord_}, {_q(cat)}, {_q(lab)})" for ord_, cat, lab in s.taxonomy.entries())
+    return f"""taxonomy(ord, category, lab) AS (VALUES {rows}),
+labels AS (
+  SELECT lower({strip('lab')}) AS norm, arg_max(lab, ord) AS label, min(ord) AS ord, arg_max(category, ord) AS category,
+         array_to_string(list_sort(string_split_regex(lower({strip('lab')}), '\\s+')), ' ') AS srt
+  FROM taxonomy GROUP BY 1)"""
 
 
 def resolve_cte(values_cte: str, s: Settings = DEFAULT, src: str = "v",

@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -57,4 +58,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint root, for tables a job writes."""
     root = ensure_checkpoint_dir(spark)
-    return os.path.join(root, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(root, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Scratch tables made inside are deleted at the end: for jobs whose results are written elsewhere."""
+    from .sources.paths import delete
+
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            delete(spark, path)

@@ -16,18 +16,6 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def list_files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
-    """(path, size, modification_time) of the files directly under ``path``."""
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        if st.isFile():
-            out.append((st.getPath().toString(), int(st.getLen()), int(st.getModificationTime())))
-    return out
-
-
 def move(spark: SparkSession, src: str, dst_dir: str) -> str:
     fs, s = _fs(spark, src)
     jvm = spark.sparkContext._jvm
@@ -37,3 +25,24 @@ def move(spark: SparkSession, src: str, dst_dir: str) -> str:
     if not fs.rename(s, target):
         raise IOError(f"could not move {src} to {dst_dir}")
     return target.toString()
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def replace(spark: SparkSession, src: str, dst: str) -> None:
+    """Put the folder ``src`` in the place of ``dst``; on failure ``dst`` stays what it was."""
+    fs, s = _fs(spark, src)
+    jvm = spark.sparkContext._jvm
+    d, old = jvm.org.apache.hadoop.fs.Path(dst), jvm.org.apache.hadoop.fs.Path(dst.rstrip("/") + ".old")
+    fs.delete(old, True)
+    had = bool(fs.exists(d))
+    if had and not fs.rename(d, old):
+        raise IOError(f"could not set {dst} aside")
+    if not fs.rename(s, d):
+        if had:
+            fs.rename(old, d)
+        raise IOError(f"could not publish {src} as {dst}")
+    fs.delete(old, True)

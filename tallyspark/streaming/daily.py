@@ -1,7 +1,7 @@
 """E1 as a Structured Streaming job: new statement files -> month tables.
 
-``readStream.text(inbox, wholetext=True)`` sees each new file once (the
-checkpoint remembers it), ``Trigger.AvailableNow`` drains what is there and
+``readStream.text(inbox)`` sees each new file once and whole in one micro-batch
+(the checkpoint remembers it), ``Trigger.AvailableNow`` drains what is there and
 stops, ``cleanSource=archive`` moves finished files away, and every
 micro-batch goes through the same clean / transform / anti-join append as
 the batch job, so replays after a failure append nothing twice.
@@ -9,35 +9,42 @@ the batch job, so replays after a failure append nothing twice.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ..config import Settings
-from ..plans.daily import DailyPaths, load_lines
-from ..sources.statements import statement_lines_from_files
+from ..plans.daily import DailyPaths, load_lines, report_failure, report_success
+from ..session import scratch_scope
+from ..sources.statements import FILE_ID, raw_lines, statement_lines, without_header
 
 
 def start_daily_stream(spark: SparkSession, settings: Settings, paths: DailyPaths, checkpoint: str,
                        max_files_per_trigger: int | None = None, archive_dir: str | None = None):
-    reader = spark.readStream
-    # S2 on the stream: the per-run file limit becomes a per-micro-batch limit,
-    # so a large backlog is drained in bounded batches instead of failing the run
-    per_trigger = max_files_per_trigger or settings.max_files
-    reader = reader.option("maxFilesPerTrigger", per_trigger)
+    """Without ``max_files_per_trigger`` all new files are one batch, as in ``run_daily``.
+
+    With it, each micro-batch counts as a run of its own: a row whose key an
+    earlier file has already brought is then not appended again (J1).
+    """
+    reader = spark.readStream.option("pathGlobFilter", settings.file_glob).option("ignoreCorruptFiles", True)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    # pass wholetext as an argument: the method's default would override an .option()
-    raw = reader.text(paths.inbox, wholetext=True)
-    name = F.col("file_name") if "file_name" in raw.columns else F.col("_metadata.file_name")
-    files = raw.select(name.alias("file_name"), "value")
+    lines = raw_lines(reader.text(paths.inbox))
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        # the file stream has no size pre-filter: oversized exports are dropped
-        # here, after loading (the batch reader skips them before loading)
-        batch = batch.filter(F.length("value") <= settings.max_file_bytes)
-        lines = statement_lines_from_files(batch, settings)
-        load_lines(batch.sparkSession, lines, settings, paths)
-
-    return (files.writeStream.foreachBatch(each_batch)
+        session = batch.sparkSession
+        with scratch_scope(session):
+            try:
+                files = batch.select("file_name", *FILE_ID).distinct()
+                data, heads = statement_lines(batch, settings)
+                res = load_lines(session, data, without_header(files, heads), settings, paths)
+                res.files = files.count()
+                report_success(session, res, paths)
+            except Exception as e:
+                report_failure(session, e, paths)
+                raise
+
+    return (lines.writeStream.foreachBatch(each_batch)
                  .option("checkpointLocation", checkpoint)
                  .trigger(availableNow=True)
                  .start())

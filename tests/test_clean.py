@@ -63,3 +63,40 @@ def test_clean_plus_rejects_is_input(spark):
     n_lines = synth.statement_lines(li, DEFAULT).count()
     assert clean.cleaned(parsed).count() + clean.rejects(parsed).count() == n_lines
     assert clean.rejects(parsed).filter(F.col("reason").isNull()).count() == 0
+
+
+def test_cells_of_any_number_quotes_and_width(spark):
+    wide = "Tran Date,," + ",".join(f"x{i}" for i in range(20)) + ",PARTICULARS,DR,CR"
+    row = "01-04-2026,," + ",".join("v" for _ in range(20)) + ',"UPI/1/""Joe"" Bar, the/P2A/a\\b",10.00,'
+    parsed = clean.parse_lines(lines_frame(spark, [row, "01-04-2026," + "," * 19 + ",x,1.00,"], header=wide), DEFAULT).orderBy("line_no").collect()
+    assert parsed[0].reason is None or parsed[0].reason == "too_many_nulls"
+    assert parsed[0].particulars == 'UPI/1/"Joe" Bar, the/P2A/a\\b' and parsed[1].reason == "too_many_nulls"
+    cells = spark.createDataFrame([('a,"b ""c""",,"d,e",f"g,"', ), ("", )], "line string").select(clean.csv_cells(F.col("line")).alias("c")).collect()
+    assert cells[0].c == ["a", 'b "c"', None, "d,e", 'f"g', '"'] and cells[1].c == [None]
+
+
+def test_dates_amounts_and_white_space(spark):
+    from tallyspark.functions import text
+    rows = [("01-Apr-2026", dt.date(2026, 4, 1)), ("1 April 26", dt.date(2026, 4, 1)), ("2026-04-01 00:00:00", dt.date(2026, 4, 1)),
+            ("1/4/2026 13:45", dt.date(2026, 4, 1)), ("01/04/98", dt.date(1998, 4, 1)), ("31-Feb-2026", None), ("Apr 2026", None), ("2026-04-01", dt.date(2026, 4, 1))]
+    got = spark.createDataFrame([(t,) for t, _ in rows], "t string").select("t", text.day_first_date(F.col("t")).alias("d")).collect()
+    assert [r.d for r in got] == [d for _, d in rows]
+    amounts = [("10", "10.00", False), (" 1.50 ", "1.50", False), ("1e30", None, True), ("99999999999999999.00", None, True), ("1.005", None, True),
+               ("1.500", "1.50", False), ("12d", None, True), ("", None, False), (None, None, False), ("\u00a0", None, False)]
+    got = spark.createDataFrame([(t,) for t, *_ in amounts], "t string").select(
+        text.amount(F.col("t")).cast("string").alias("a"), text.bad_amount(F.col("t")).alias("bad")).collect()
+    assert [(r.a, r.bad) for r in got] == [(a, b) for _, a, b in amounts]
+    assert spark.range(1).select(text.py_strip(F.lit("\u00a0\u3000 x\u2003")).alias("s")).first().s == "x"
+
+
+def test_key_schema_check_and_scale(spark):
+    import pytest
+    from tallyspark.operators import keys
+    ok = "date date, particulars string, dr decimal(18,2), cr decimal(18,2)"
+    row = (dt.date(2026, 4, 1), "x", Decimal("15"), None)
+    for bad in (ok.replace("dr decimal(18,2)", "dr double"), ok.replace("dr decimal(18,2)", "dr decimal(18,3)"), ok.replace("date date", "date string"), ok.replace(", cr decimal(18,2)", "")):
+        with pytest.raises(ValueError):
+            keys.build_unique_key(spark.createDataFrame([], bad), DEFAULT)
+    zero = ok.replace("dr decimal(18,2)", "dr decimal(18,0)")
+    key = lambda schema, amount: keys.build_unique_key(spark.createDataFrame([(row[0], "x", Decimal(amount), None)], schema), DEFAULT).first().uuid
+    assert key(zero, "15") != key(zero, "150") and key(zero, "15") == key(ok, "15")

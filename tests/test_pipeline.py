@@ -127,10 +127,99 @@ def test_empty_batch_touches_nothing_and_consolidation_reports(spark):
     assert [r.status for r in spark.read.parquet(runs).collect()] == ["FAILURE"]
 
 
-def test_oversized_files_are_rejected_not_read(spark, inbox):
+def _write(folder, name, lines, **kw):
+    import gzip
+    data = ("\n".join(lines) + "\n").encode()
+    (folder / name).write_bytes(gzip.compress(data)[:20] if kw.get("broken") else data)
+
+
+def _axis(*rows):
+    return [f"preamble {i}" for i in range(17)] + ["Tran Date,CHQNO,PARTICULARS,DR,CR,BAL"] + [
+        f"01-04-2026,,UPI/{i}/payee/P2A/food,{amount},,5.00" for i, amount in rows]
+
+
+def test_redelivered_file_bad_files_and_rejects(spark, tmp_path):
+    """A file of an old name is new; files without a header are rejects; nothing vanishes."""
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    p = paths(spark, str(inbox))
+    p.archive_dir = str(tmp_path / "archive")
+    _write(inbox, "axis_statement.csv", _axis((1, "10.00"), (2, "abc")))
+    _write(inbox, "axis_short.csv", ["only", "two"])
+    _write(inbox, "axis_empty.csv", [])
+    _write(inbox, "axis_broken.csv.gz", _axis((9, "1.00")), broken=True)
+    _write(inbox, "notes.md", ["not a statement"])
     import dataclasses
-    small = dataclasses.replace(DEFAULT, max_file_bytes=1000)
-    lines = statements.read_statements(spark, inbox, small)
-    assert lines.count() == 0
-    big = statements.oversized(statements.list_statements(spark, inbox), small).collect()
-    assert big and all(r.reason == "file_too_large" for r in big)
+    settings = dataclasses.replace(DEFAULT, file_glob="*.{csv,csv.gz}")
+    one = run_daily(spark, settings, p, max_files=10)
+    assert (one.files, one.rows, one.delta, one.banks) == (4, 1, 1, 1)
+    reasons = [r.reason for r in spark.read.parquet(p.rejects).collect()]
+    assert sorted(reasons) == ["bad_amount", "no_header", "no_header", "no_header"]
+    assert sorted(f.name for f in inbox.iterdir() if not f.name.startswith(".")) == ["notes.md"]
+    _write(inbox, "axis_statement.csv", _axis((3, "10.00"), (4, "x"), (5, "y")))
+    two = run_daily(spark, settings, p, max_files=10)
+    assert (two.files, two.rows, two.delta, two.rejects) == (1, 1, 1, 2)
+    assert spark.read.parquet(p.months).count() == 2 and spark.read.parquet(p.rejects).count() == 6
+    assert [r.groups for r in spark.read.parquet(p.runs).collect()] == [1, 1]
+
+
+def test_lines_are_numbered_over_splits_and_scratch_goes(spark, tmp_path):
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    rows = [(i, "10.00" if i % 50 else "bad") for i in range(3000)]
+    _write(inbox, "axis_long.csv", _axis(*rows))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        p = paths(spark, str(inbox))
+        from tallyspark.session import ensure_checkpoint_dir
+        root = os.path.join(ensure_checkpoint_dir(spark).replace("file:", ""), "tables")
+        before = set(os.listdir(root)) if os.path.isdir(root) else set()
+        res = run_daily(spark, DEFAULT, p, max_files=1)
+        left = set(os.listdir(root)) - before
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert res.rows == 2940 and res.rejects == 60
+    got = sorted(r.line_no for r in spark.read.parquet(p.rejects).collect())
+    assert got == [18 + i for i in range(0, 3000, 50)]
+    assert left <= {os.path.basename(x) for x in (p.months, p.rejects, p.runs, p.processed)}
+
+
+def test_stream_is_one_run_by_default_and_reports(spark, tmp_path):
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    _write(inbox, "axis_a.csv", _axis((1, "10.00"), (2, "11.00")))
+    _write(inbox, "axis_b.csv", _axis((1, "10.00"), (3, "12.00")))
+    batch, stream = paths(spark, str(inbox)), paths(spark, str(inbox))
+    run_daily(spark, DEFAULT, batch)
+    start_daily_stream(spark, DEFAULT, stream, str(tmp_path / "ckpt")).awaitTermination(300)
+    rows = lambda p: sorted(r.particulars for r in spark.read.parquet(p.months).collect())
+    assert rows(stream) == rows(batch) and len(rows(batch)) == 4
+    assert [(r.status, r.rows, r.groups) for r in spark.read.parquet(stream.runs).collect()] == [("SUCCESS", 4, 1)]
+
+
+def test_consolidation_without_rows_leaves_the_old_master(spark):
+    batch = catalog.batch_with_month(spark, SF).drop("file_name", "line_no")
+    months, master, runs = (scratch_path(spark, x) for x in ("months", "master", "runs"))
+    load.route(batch, months)
+    done = run_consolidate(spark, DEFAULT, months, master, runs)
+    empty = scratch_path(spark, "months")
+    batch.limit(0).withColumn("month", F.lit("2026-01")).write.parquet(f"{empty}/month=2026-01")
+    with pytest.raises(ValueError):
+        run_consolidate(spark, DEFAULT, empty, master, runs)
+    kept = spark.read.parquet(master)
+    assert kept.count() == done.rows_after > 0
+    rows = [(r.date, r.uuid) for r in consolidate.sort_master(kept).collect()]
+    assert rows == sorted(rows)                                            # O1
+
+
+def test_key_prefix_collision_drops_no_row(spark):
+    import datetime as dt
+    from decimal import Decimal
+    schema = "uuid string, source_month string, month string, date date, particulars string, dr decimal(18,2), cr decimal(18,2)"
+    a = ("same", "2026-04", "2026-04", dt.date(2026, 4, 1), "a", Decimal("1.00"), None)
+    b = ("same", "2026-04", "2026-04", dt.date(2026, 4, 1), "b", Decimal("1.00"), None)
+    df = spark.createDataFrame([a, b, a], schema)
+    assert sorted(r.particulars for r in consolidate.deduplicate(df).collect()) == ["a", "b"]
+    new, old = spark.createDataFrame([a, b], schema), spark.createDataFrame([a], schema)
+    assert [r.particulars for r in load.anti_join(new, old).collect()] == ["b"]
