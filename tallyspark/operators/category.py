@@ -91,12 +91,12 @@ def tier_substring(v: Column, labels: list[Label]) -> Column:
     return best["label"]
 
 
-def tier_fuzzy(v: Column, labels: list[Label], threshold: int) -> Column:
-    """Best token-sort score >= threshold; ties go to the earliest label.
+def fuzzy_scores(v: Column, labels: list[Label], threshold: int) -> Column:
+    """(score, -order, label) of every label that a length bound leaves.
 
-    A length bound prunes labels first: LCS <= min(|a|, |b|), so a label with
-    200*min(|a|,|b|) < threshold*(|a|+|b|) can never reach the threshold.  The
-    bound is exact (never drops a pair that could pass).
+    LCS <= min(|a|, |b|), so a label with 200*min(|a|,|b|) < threshold*(|a|+|b|)
+    can never reach the threshold: the bound never drops a pair that could pass.
+    Labels that fit a 64-bit mask are scored by bits, longer ones by the table.
     """
     short = [l for l in labels if len(l.sorted) <= MAX_BITS]
     long_ = [l for l in labels if len(l.sorted) > MAX_BITS]
@@ -115,8 +115,12 @@ def tier_fuzzy(v: Column, labels: list[Label], threshold: int) -> Column:
                             lambda l: lcs_bits(a, l["masks"], l["full"], l["slen"])))
     if long_:
         parts.append(scored(_labels_array(long_), lambda l: lcs_dp(a, l["sorted"])))
-    allscores = parts[0] if len(parts) == 1 else F.concat(*parts)
-    best = F.array_max(allscores)
+    return parts[0] if len(parts) == 1 else F.concat(*parts)
+
+
+def tier_fuzzy(v: Column, labels: list[Label], threshold: int) -> Column:
+    """Best token-sort score >= threshold; ties go to the earliest label."""
+    best = F.array_max(fuzzy_scores(v, labels, threshold))
     return F.when(best["score"] >= F.lit(float(threshold)), best["label"])
 
 
@@ -127,13 +131,7 @@ def fuzzy_candidates(values: DataFrame, col: str, settings: Settings,
     thr = settings.fuzzy_threshold if fuzzy_threshold is None else fuzzy_threshold
     labels = label_table(settings)
     v = norm(F.col(col), settings.case_sensitive)
-    a = token_sort(v)
-    la = F.length(a)
-    arr = _labels_array([l for l in labels if len(l.sorted) <= MAX_BITS])
-    cand = F.filter(arr, lambda l: F.lit(200) * F.least(la, l["slen"]) >= F.lit(thr) * (la + l["slen"]))
-    best = F.array_max(F.transform(cand, lambda l: F.struct(
-        ratio(lcs_bits(a, l["masks"], l["full"], l["slen"]), la, l["slen"]).alias("score"),
-        (-l["ord"]).alias("nord"), l["label"].alias("label"))))
+    best = F.array_max(fuzzy_scores(v, labels, thr))
     open_ = F.col(col).isNotNull() & tier_exact(v, labels).isNull() & tier_substring(v, labels).isNull()
     out = values.select(F.col(col), open_.alias("__open"), best.alias("__best"))
     return (out.select(F.explode(F.filter(F.array(F.struct(

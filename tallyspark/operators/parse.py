@@ -95,11 +95,6 @@ def modify_salaried_record(df: DataFrame, settings: Settings) -> DataFrame:
     })
 
 
-def export_date(c: Column) -> Column:
-    """T12."""
-    return F.date_format(c, "yyyy-MM-dd")
-
-
 def month_of(c: Column) -> Column:
     """Month taken from the data's own date."""
     return F.date_format(c, "yyyy-MM")

@@ -110,7 +110,7 @@ def batch_with_month(spark, sf_dir) -> DataFrame:
 
 def _seed(batch: DataFrame) -> DataFrame:
     """The 'already loaded' half: statements whose file group number is even."""
-    return batch.filter(F.substring("file_name", 11, 5).cast("int") % 2 == 0)
+    return batch.filter(F.regexp_extract("file_name", r"_([0-9]+)[.]csv$", 1).cast("bigint") % 2 == 0)
 
 
 def q_incremental_load(spark, sf_dir):
@@ -404,7 +404,7 @@ TRANSFORMED_TEXT_COLS = ("date, particulars, dr, cr, bank, array_to_string(split
 
 _BATCH = """,
 batch AS (SELECT *, strftime(date, '%Y-%m') AS month FROM transformed),
-seed AS (SELECT * FROM batch WHERE CAST(substr(file_name, 11, 5) AS INTEGER) % 2 = 0),
+seed AS (SELECT * FROM batch WHERE CAST(regexp_extract(file_name, '_([0-9]+)[.]csv$', 1) AS BIGINT) % 2 = 0),
 delta AS (SELECT * FROM batch b WHERE NOT EXISTS (
             SELECT 1 FROM seed s WHERE s.month = b.month AND s.uuid = b.uuid))"""
 

@@ -66,7 +66,7 @@ rows AS (
     END AS particulars,
     (CASE WHEN axis THEN {s.bank('axis').skip_rows} ELSE {s.bank('hdfc').skip_rows} END)
       + 1 + ((k % {FILE_GROUP}) * 8 + n) * 2 AS slot,
-    CASE WHEN axis THEN 'axis' ELSE 'hdfc' END || '_stmt_' || lpad(CAST(k // {FILE_GROUP} AS VARCHAR), 5, '0') || '.csv' AS file_name
+    CASE WHEN axis THEN 'axis' ELSE 'hdfc' END || '_stmt_' || lpad(CAST(k // {FILE_GROUP} AS VARCHAR), CAST(greatest(5, length(CAST(k // {FILE_GROUP} AS VARCHAR))) AS INTEGER), '0') || '.csv' AS file_name
   FROM li2
 ),
 cleaned AS (

@@ -117,7 +117,8 @@ def statement_lines(lineitem: DataFrame, settings: Settings) -> DataFrame:
     axis_line = _line(["date_cell", "chq", "part_txt", "dr", "cr", "CASE WHEN m != 9 THEN bal END"])
     hdfc_line = _line(["date_cell", "part_txt", "ref", "vdt", "dr", "cr", "bal"])
     df = df.selectExpr(
-        f"concat(bank, '_stmt_', lpad(CAST(k div {FILE_GROUP} AS STRING), 5, '0'), '.csv') AS file_name",
+        f"concat(bank, '_stmt_', lpad(CAST(k div {FILE_GROUP} AS STRING), "
+        f"greatest(5, length(CAST(k div {FILE_GROUP} AS STRING))), '0'), '.csv') AS file_name",
         "explode(sequence(1, CASE WHEN m = 10 THEN 2 ELSE 1 END)) AS copy",
         f"CASE WHEN axis THEN {axis_skip} ELSE {hdfc_skip} END + 1 + ((k % {FILE_GROUP}) * 8 + n) * 2 AS slot",
         f"CASE WHEN axis THEN {axis_line} ELSE {hdfc_line} END AS line",

@@ -1,9 +1,8 @@
-"""Table sources: parquet inputs, month tables."""
+"""Table sources: parquet inputs."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql import DataFrame
 
 
 def balanced(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
@@ -18,22 +17,7 @@ def balanced(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     want = min_partitions or spark.sparkContext.defaultParallelism
     # estimate the splits from the planner's size statistics (file sizes), no job
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    split = int(spark.conf.get("spark.sql.files.maxPartitionBytes", str(128 * 1024 * 1024)).rstrip("b"))
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()   # in bytes, whatever unit it was set in
     if size // max(split, 1) + 1 < want:
         return df.repartition(want)
     return df
-
-
-def read_month_table(spark: SparkSession, path: str, schema: StructType,
-                     months: list[str] | None = None) -> DataFrame:
-    """Month-partitioned table; absent path -> empty table of ``schema``.
-
-    ``months`` prunes partitions (only the months of the incoming batch are read).
-    """
-    from ..sources.paths import exists
-    if not exists(spark, path):
-        return spark.createDataFrame([], schema)
-    df = spark.read.schema(schema).parquet(path)
-    if months is not None:
-        df = df.filter(F.col("month").isin(months))
-    return df
