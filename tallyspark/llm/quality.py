@@ -64,21 +64,22 @@ def votes(s: tuple[float, ...]) -> str:
 def label_model(patterns: dict[str, int], rounds: int = 200) -> dict[str, float]:
     """Posterior of "good" for each pattern, by expectation-maximisation.
 
-    Starts from whether two labellers or more vote bad.  A labeller has a distribution over its
-    three votes for good and for bad documents, smoothed by one vote.
+    Starts from whether two labellers or more vote bad.  A labeller has a share
+    of bad votes among those it casts on good and on bad documents, smoothed by one vote.
     """
     if not patterns:
         return {}
     names = sorted(patterns)
     count = np.array([patterns[p] for p in names], float)
     x = np.array([["01-".index(c) for c in p] for p in names])
+    cast = (x[:, :, None] == np.arange(2)).astype(float)  # a labeller that abstains says nothing
     q = np.where((x == 0).sum(1) >= 2, .1, .9)
-    one_hot = (x[:, :, None] == np.arange(3)).astype(float)
     for _ in range(rounds):
         prior = (count @ q + 1) / (count.sum() + 2)
-        good = (np.einsum("p,pkv->kv", count * q, one_hot) + 1) / (count @ q + 3)
-        bad = (np.einsum("p,pkv->kv", count * (1 - q), one_hot) + 1) / (count @ (1 - q) + 3)
-        odds = np.log(prior / (1 - prior)) + np.einsum("pkv,kv->p", one_hot, np.log(good / bad))
+        good = np.einsum("p,pkv->kv", count * q, cast) + 1
+        bad = np.einsum("p,pkv->kv", count * (1 - q), cast) + 1
+        good, bad = good / good.sum(1, keepdims=True), bad / bad.sum(1, keepdims=True)
+        odds = np.log(prior / (1 - prior)) + np.einsum("pkv,kv->p", cast, np.log(good / bad))
         new = 1 / (1 + np.exp(-np.clip(odds, -50, 50)))
         if np.abs(new - q).max() < 1e-9:
             break

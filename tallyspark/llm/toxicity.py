@@ -206,12 +206,14 @@ def feature_counts(df: DataFrame, costs: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def weights(counts: np.ndarray, total: np.ndarray) -> np.ndarray:
     """Log odds per bucket, 0 unless they are high and a likelihood-ratio test leaves no room for chance."""
-    clean, toxic = counts.astype(np.float32)
     if not total.all():
-        return np.zeros(len(clean), np.float32)
+        return np.zeros(counts.shape[1], np.float32)
+    # what other features bring to a bucket on average is taken off
+    tables = counts.reshape(2, ROWS, -1).astype(np.float32)
+    clean, toxic = np.maximum(0, tables - tables.mean(axis=2, keepdims=True)).reshape(2, -1)
     both = clean + toxic
     share = total[1] / total.sum()
-    with np.errstate(divide="ignore", invalid="ignore"):
+    with np.errstate(divide="ignore", invalid="ignore"):  # empty buckets
         g = 2 * (np.where(toxic > 0, toxic * np.log(toxic / (both * share)), 0)
                  + np.where(clean > 0, clean * np.log(clean / (both * (1 - share))), 0))
     odds = np.log((toxic + .5) / (total[1] + 1)) - np.log((clean + .5) / (total[0] + 1))
