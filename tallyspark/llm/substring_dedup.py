@@ -11,9 +11,12 @@ they stand.  Groups of one row hold no repeat and are dropped as they stream by.
   node that it hangs from at that depth.  The nodes at depth ``window`` with two
   leaves or more are the deep internal nodes: their leaves repeat, and all but
   those of the smallest document are marked.
-* A group that is larger is split by a longer prefix, the whole window: each of
-  its windows is a group of its own, whose smallest document is found by an
-  aggregate with map-side partial results, so no task ever holds it.
+* A group that is larger is split by a longer prefix: the windows that reach far
+  to the right of the anchor by its first 24 words, those that reach far to the
+  left by the 16 words before it and its own.  Groups that are still larger are
+  split by the whole window: each window is a group of its own, whose smallest
+  document is found by an aggregate with map-side partial results, so no task
+  ever holds it.
 
 Documents with equal texts are folded into the smallest id first: all windows
 of the others repeat.
@@ -25,12 +28,15 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import WordHash, map_rows, ngram_hashes, signed, sized, sized_lists, stage, texts
+from .common import WordHash, map_rows, ngram_hashes, signed, sized, stage, texts
 
 #: Rows of a group that one task takes; larger groups are split by longer prefixes.
-GROUP_ROWS = 4096
+GROUP_ROWS = 16384
+#: Words of a longer prefix, to the right and to the left of an anchor's first word.
+RIGHT, LEFT = 24, 16
 #: Words of whole groups that are ranked at a time.
 TREE_WORDS = 1 << 21
 
@@ -90,11 +96,10 @@ def _repeated(anchors: DataFrame) -> DataFrame:
 
 
 def _stretches(docs: DataFrame, shared: DataFrame, window: int, anchor: int, group_rows: int) -> DataFrame:
-    """(hot, key, doc_id, tag, first, windows, words): for each shared anchor the stretch that its windows cover."""
-    names = ["hot", "key", "doc_id", "tag", "first", "windows", "words"]
+    """(hot, key, doc_id, tag, at, first, windows, words): for each shared anchor the stretch that its windows cover."""
+    names = ["hot", "key", "doc_id", "tag", "at", "first", "windows", "words"]
     places = (shared.groupBy("doc_id").agg(F.collect_list(F.struct("at", (F.col("rows") > group_rows).alias("hot"))).alias("places")))
-    places = stage(places, "substring-places")
-    both = docs.join(sized_lists(places, "places", 40), "doc_id")
+    both = docs.join(places.hint("merge"), "doc_id")  # as large as the repeated part of the input: never broadcast
 
     def make():
         find = _Windows(window, anchor)
@@ -111,7 +116,7 @@ def _stretches(docs: DataFrame, shared: DataFrame, window: int, anchor: int, gro
                 for lo, hi in zip(begin.tolist(), end.tolist()):
                     at = int(least[lo])
                     if at in hot:
-                        out.append((hot[at], int(signed(h[at:at + 1])[0]), d, tag, lo, hi - lo, b" ".join(words[lo:hi - 1 + window])))
+                        out.append((hot[at], int(signed(h[at:at + 1])[0]), d, tag, at, lo, hi - lo, b" ".join(words[lo:hi - 1 + window])))
                 if len(out) >= 8192:
                     yield rows(out)
                     out = []
@@ -119,12 +124,12 @@ def _stretches(docs: DataFrame, shared: DataFrame, window: int, anchor: int, gro
                 yield rows(out)
 
         def rows(out):
-            types = (pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+            types = (pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
         return step
 
     return map_rows(both.select("doc_id", "tag", "text", "places"),
-                    "hot boolean, key bigint, doc_id bigint, tag bigint, first int, windows int, words binary", make, 128)
+                    "hot boolean, key bigint, doc_id bigint, tag bigint, at int, first int, windows int, words binary", make, 128)
 
 
 # --------------------------------------------------------------------- trees
@@ -194,6 +199,32 @@ def _ranges(docs: np.ndarray, tags: np.ndarray, starts: np.ndarray, window: int)
                                       pa.array(starts[last] + window, pa.int32())], _Trees.NAMES)
 
 
+def _split(stretches: DataFrame, window: int, anchor: int) -> DataFrame:
+    """The stretches cut in two by which side of the anchor their windows reach, keyed by the longer prefix of each."""
+    names = ["key", "doc_id", "tag", "first", "windows", "words"]
+    middle = window - RIGHT - 5  # windows that start this far before the anchor still hold RIGHT words from it on
+
+    def make():
+        def step(batch):
+            out = []
+            for key, d, tag, at, first, n, words in zip(*(c.to_pylist() for c in batch.columns)):
+                w = words.split(b" ")
+                cut = min(max(at - middle, first), first + n)
+                for lo, hi, part in ((cut, first + n, w[at - first:at - first + RIGHT]),
+                                     (first, cut, w[max(0, at - first - LEFT):at - first + anchor])):
+                    if lo < hi:
+                        side = b"r" if lo == cut else b"l"
+                        name = xxhash.xxh3_64_intdigest(side + b" ".join(part), seed=key & 0xFFFFFFFF)
+                        out.append((name - (1 << 63), d, tag, lo, hi - lo, b" ".join(w[lo - first:hi - 1 - first + window])))
+            if out:
+                types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
+        return step
+
+    return map_rows(stretches.select("key", "doc_id", "tag", "at", "first", "windows", "words"),
+                    "key bigint, doc_id bigint, tag bigint, first int, windows int, words binary", make)
+
+
 def _hot_windows(stretches: DataFrame, window: int) -> DataFrame:
     """(digest, doc_id, tag, at) of every window of the groups that are split by the whole window."""
     names = ["digest", "doc_id", "tag", "at"]
@@ -219,11 +250,20 @@ def repeats(docs: DataFrame, window: int = 50, anchor: int = 8, group_rows: int
     also start in a document with a smaller doc_id; ``tag`` tells rows of one id apart.  Ranges may overlap."""
     shared = stage(_repeated(stage(_anchors(docs.select("doc_id", "text"), window, anchor), "substring-anchors")), "substring-shared")
     stretches = stage(_stretches(docs, shared, window, anchor, group_rows), "substring-stretches")
-    ranges = "doc_id bigint, tag bigint, lo int, hi int"
-    cool = (stretches.filter("not hot").select("key", "doc_id", "tag", "first", "windows", "words")
-                     .repartition("key").sortWithinPartitions("key"))
-    marks = map_rows(cool, ranges, lambda: _Trees(window, TREE_WORDS), 4096)
-    hot = stretches.filter("hot")
+    cols = ["key", "doc_id", "tag", "first", "windows", "words"]
+
+    def trees(groups: DataFrame) -> DataFrame:
+        ordered = groups.select(*cols).repartition("key").sortWithinPartitions("key")
+        return map_rows(ordered, "doc_id bigint, tag bigint, lo int, hi int", lambda: _Trees(window, TREE_WORDS), 4096)
+
+    marks, hot = trees(stretches.filter("not hot")), stretches.filter("hot")
+    if hot.isEmpty():
+        return marks
+    parts = stage(_split(hot, window, anchor), "substring-split")
+    sizes = parts.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count(F.lit(1)).alias("rows"))
+    parts = stage(parts.join(sizes.filter("lo < hi").select("key", "rows"), "key"), "substring-parts")
+    marks = marks.unionByName(trees(parts.filter(F.col("rows") <= group_rows)))
+    hot = parts.filter(F.col("rows") > group_rows)
     if hot.isEmpty():
         return marks
     windows = stage(_hot_windows(hot, window), "substring-hot")
@@ -242,31 +282,28 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window:
     not remove each other's words; each loses what a smaller id holds.  Other
     columns are left out.
     """
-    docs = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    digests = stage(docs.filter("doc_id is not null and text is not null")
-                        .select("doc_id", F.sha2("text", 256).alias("digest")), "substring-digests")
-    first = digests.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("top"), F.count(F.lit(1)).alias("n"))
-    first = stage(first.filter("n > 1"), "substring-copied")
-    copies = stage(digests.join(sized(first.filter("rep < top"), 112), "digest").filter("doc_id > rep")
-                          .select("doc_id", "digest").distinct(), "substring-copies")
-    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("tag"), F.sha2("text", 256).alias("digest"))
-    copies = sized(copies.withColumn("copy", F.lit(True)), 96)
-    rest = keyed.filter("doc_id is not null and text is not null").join(copies, ["doc_id", "digest"], "left_anti")
+    docs = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("tag"))
+    named = stage(docs.filter("doc_id is not null and text is not null")
+                      .select("doc_id", "tag", F.sha2("text", 256).alias("digest")), "substring-digests")
+    first = named.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("top")).filter("rep < top")
+    copies = stage(named.join(first, "digest").filter("doc_id > rep").select("doc_id", "tag").distinct(), "substring-copies")
+    rest = docs.filter("doc_id is not null and text is not null").join(sized(copies, 32), ["doc_id", "tag"], "left_anti")
     marks = repeats(rest.select("doc_id", "tag", "text"), window)
+    # a copy of a smaller id loses all words if it has a window at all: a range that begins before the text
+    marks = marks.unionByName(copies.select("doc_id", "tag", F.lit(-1).alias("lo"), F.lit(-1).alias("hi")))
     by_doc = stage(marks.groupBy("doc_id", "tag").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges")), "substring-ranges")
-    both = (keyed.join(sized_lists(by_doc, "ranges", 32), ["doc_id", "tag"], "left").join(copies, ["doc_id", "digest"], "left")
-                 .select("doc_id", "text", "ranges", F.coalesce("copy", F.lit(False)).alias("copy")))
+    both = docs.join(by_doc.hint("merge"), ["doc_id", "tag"], "left").select("doc_id", "text", "ranges")
     names = ["doc_id", "n_words", "n_removed", "kept"]
 
     def make():
         def step(batch):
             out = []
-            for d, t, ranges, copy in zip(*(c.to_pylist() for c in batch.columns)):
+            for d, t, ranges in zip(*(c.to_pylist() for c in batch.columns)):
                 words = (t or "").encode().split()
                 n = len(words)
-                if copy and n >= window:
-                    words = []
-                elif ranges and not copy:
+                if ranges and ranges[0]["lo"] < 0:
+                    words = [] if n >= window else words
+                elif ranges:
                     gone = np.zeros(n + 1, np.int32)
                     for r in ranges:
                         gone[r["lo"]] += 1

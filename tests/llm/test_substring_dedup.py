@@ -44,11 +44,11 @@ def corpus(seed):
     return rows
 
 
-@pytest.mark.parametrize("hot", [4096, 3, 0])
+@pytest.mark.parametrize("hot", [16384, 4, 0])
 def test_like_all_windows(make_docs, monkeypatch, hot):
     rows = corpus(hot)
-    real = sd._stretches
-    monkeypatch.setattr(sd, "_stretches", lambda d, s, w, a, g: real(d, s, w, a, hot))
+    real = sd.repeats
+    monkeypatch.setattr(sd, "repeats", lambda docs, window: real(docs, window, group_rows=hot))
     monkeypatch.setattr(sd, "TREE_WORDS", 500)
     assert sorted(map(tuple, sd.digest(make_docs(rows)).collect()), key=str) == brute(rows)
 
