@@ -14,11 +14,14 @@ Equal sets are folded into their smallest id first.  Then:
   sets per size and the mean list length that the bucket counts give.
 
 Links are wanted as components, so the scan verifies exactly, on whole texts,
-first one candidate per set (the head of a list that it shares most lists
-with), and then every candidate pair that is still in different components.  A
-pair is given up only if the shared lists prove that it cannot reach 3/4: of two
-sets, all common shingles among the first ones of the set whose first ones end
-earlier are seen, so the others of these are missing from the other set.
+first in a few rounds one candidate per set (the head of a list that it shares
+most lists with), and then every candidate pair that is still in different
+components.  A pair is given up only if the shared lists prove that it cannot
+reach 3/4: of two sets, all common shingles among the first ones of the set whose
+first ones end earlier are seen, so the others of these are missing from the
+other set.  The bound is taken with the open lists that two sets can share by
+their bitmaps, so most pairs are ruled out before they are made, and a pair is
+made only under lists that leave room for as many common lists behind them.
 Lists of any length are cut into blocks, pairs of blocks are joined.
 """
 
@@ -30,7 +33,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import (WordHash, count_blocks, map_rows, mix64, ngram_hashes, signed, sized, stage, summed_counts, texts)
 from .graph import components
@@ -129,7 +132,8 @@ def _boundary(groups: DataFrame, counts: np.ndarray) -> int:
 
 # ------------------------------------------------------------ second reading
 def _signatures(reps: DataFrame, classes: np.ndarray, boundary: int) -> DataFrame:
-    """List rows (kind 0: key, rep, n, last key of the first ones) and subset rows (kind 1: key and last are its hash)."""
+    """List rows (kind 0: key, rep, n, last key of the first ones) and subset rows (key and last are the
+    hash; kind 1 for pairs of one size, kind 2 for pairs of two sizes)."""
     names = ["kind", "key", "rep", "n", "last"]
 
     def make():
@@ -147,7 +151,7 @@ def _signatures(reps: DataFrame, classes: np.ndarray, boundary: int) -> DataFram
                     mark = bytes((min(s, t), max(s, t)))
                     for part in combinations(x.tolist(), least_overlap(s, t)):
                         h = hashlib.blake2b(mark + np.array(part, np.uint64).tobytes(), digest_size=16).digest()
-                        yield int.from_bytes(h[:8], "little", signed=True), int.from_bytes(h[8:], "little", signed=True)
+                        yield 1 if s == t else 2, int.from_bytes(h[:8], "little", signed=True), int.from_bytes(h[8:], "little", signed=True)
 
         def step(batch):
             keys, ids, sizes, lasts, kinds = [], [], [], [], []
@@ -162,10 +166,10 @@ def _signatures(reps: DataFrame, classes: np.ndarray, boundary: int) -> DataFram
                     ids.append(np.full(len(k), d))
                     sizes.append(np.full(len(k), n))
                 if 0 < n <= boundary + boundary // 3 + 1 and (sub := list(subsets(x))):
-                    a, b = zip(*sub)
+                    kind, a, b = zip(*sub)
                     keys.append(np.array(a, np.int64))
                     lasts.append(np.array(b, np.int64))
-                    kinds.append(np.ones(len(a), np.int8))
+                    kinds.append(np.array(kind, np.int8))
                     ids.append(np.full(len(a), d))
                     sizes.append(np.full(len(a), n))
             if keys:
@@ -215,10 +219,26 @@ class _Shared:
 
 
 def _lists(rows: DataFrame) -> DataFrame:
-    ordered = (rows.select("key", "rep", "n", "last").repartition("key").sortWithinPartitions("key", "n", "rep"))
+    # the head of a list is the set with the least hash: the same one for most lists of a family
+    ordered = rows.select("key", "rep", "n", "last").repartition("key").sortWithinPartitions("key", F.xxhash64("rep"), "rep")
     return map_rows(ordered, ", ".join(f"{c} bigint" for c in _Shared.NAMES), _Shared, 1 << 16)
 
 
+def _small_links(rows: DataFrame) -> DataFrame:
+    """Links between sets that share an enumerated subset, as stars.
+
+    Under a key for two sizes only sets of different sizes link: those of one
+    size go to the least id of the other size, which connects the same sets.
+    """
+    least = (rows.groupBy("kind", "key", "last")
+                 .agg(F.min(F.struct("n", "rep")).alias("lo"), F.min(F.struct((-F.col("n")).alias("n"), "rep")).alias("hi"),
+                      F.count(F.lit(1)).alias("rows"))
+                 .filter("rows > 1 and (kind = 1 or lo.n < -hi.n)"))
+    other = F.when((F.col("kind") == 1) | (F.col("n") > F.col("lo.n")), F.col("lo.rep")).otherwise(F.col("hi.rep"))
+    return (rows.join(least, ["kind", "key", "last"]).select(other.alias("a"), F.col("rep").alias("b"))
+                .filter("a != b").distinct())
+
+
 # ------------------------------------------------------------------ checking
 def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """Those of the pairs (a, b) whose texts' sets link, by exact comparison of whole sets."""
@@ -252,10 +272,36 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return stage(map_rows(both.select("a", "b", "ta", "tb"), "a bigint, b bigint", make, 128).distinct(), "jaccard-links")
 
 
+#: Rounds of linking sets to the head of an open list before all open pairs are looked at.
+STAR_ROUNDS = 2
+#: 64-bit words of the bitmap of a set's open lists.
+MAP_WORDS = 8
+
+
+def _can_link(na: Column, nb: Column, la: Column, lb: Column, sa: Column, sb: Column) -> Column:
+    """Whether sets of sizes ``na``, ``nb`` that share at most min(``sa``, ``sb``) of their first
+    shingles can link; ``la``, ``lb`` are the last of these.
+
+    Of the set whose first shingles end earlier, those not shared are missing from
+    the other set, and the overlap must come to 3(na + nb) / 7 without them.
+    """
+    need, most = F.ceil(3 * (na + nb) / 7), F.least(sa, sb)
+    rest = lambda n: F.floor((3 * n + 3) / 4) - 1  # noqa: E731  shingles after the first ones
+    return (((la > lb) | (rest(na) + most >= need)) & ((lb > la) | (rest(nb) + most >= need))
+            & (4 * F.least(na, nb) >= 3 * F.greatest(na, nb)))
+
+
+def _least_shared(na, nb, la, lb):
+    """How many of their first shingles sets must share to link, as arrays; at least 1."""
+    need = -(-3 * (na + nb) // 7)
+    return np.maximum(1, np.maximum(np.where(la <= lb, need - na + prefix_length(na), 1),
+                                    np.where(lb <= la, need - nb + prefix_length(nb), 1)))
+
+
 class _Pairs:
-    """Joins the rows of whole lists (or pairs of blocks of one), sorted by list: pairs of different components."""
+    """Joins the rows of whole lists (or pairs of blocks of one), sorted by list: pairs of different components that can link."""
 
-    NAMES = ["a", "b", "na", "nb", "la", "lb", "shared"]
+    NAMES = ["a", "b"]
     BATCH = 1 << 16
 
     def __init__(self):
@@ -277,7 +323,9 @@ class _Pairs:
             yield from self._join(np.concatenate(self.rows, axis=1))
 
     def _join(self, rows: np.ndarray):
-        key, i, j, side, rep, n, last, comp = rows
+        key, i, j, side, rep, n, last, comp, open_, rank, *bits = rows
+        bits = np.stack(bits).view(np.uint64)
+        hidden = open_ - np.bitwise_count(bits).sum(0, dtype=np.int64)  # lists that share a bit with another of the set
         held, size, at, step = [], 0, np.arange(len(key)), 0
         while True:
             step += 1
@@ -287,41 +335,70 @@ class _Pairs:
             at, to = at[same], to[same]
             if not len(at):
                 break
-            ok = ((comp[at] != comp[to]) & (rep[at] != rep[to]) & ((i[at] == j[at]) | (side[at] != side[to]))
-                  & (4 * np.minimum(n[at], n[to]) >= 3 * np.maximum(n[at], n[to])))
+            ok = (comp[at] != comp[to]) & (rep[at] != rep[to]) & ((i[at] == j[at]) | (side[at] != side[to]))
             x, y = at[ok], to[ok]
-            x, y = np.where(rep[x] < rep[y], x, y), np.where(rep[x] < rep[y], y, x)
-            held.append(np.stack([rep[x], rep[y], n[x], n[y], last[x], last[y]]))
+            both = np.bitwise_count(bits[:, x] & bits[:, y]).sum(0, dtype=np.int64)
+            most = np.minimum(np.minimum(open_[x], open_[y]), both + np.minimum(hidden[x], hidden[y]))
+            # the pair's first common list, rare lists first, leaves room for the others behind it
+            least = _least_shared(n[x], n[y], last[x], last[y])
+            ok = ((most >= least) & (4 * np.minimum(n[x], n[y]) >= 3 * np.maximum(n[x], n[y]))
+                  & (rank[x] <= open_[x] - least + 1) & (rank[y] <= open_[y] - least + 1))
+            x, y = rep[x[ok]], rep[y[ok]]
+            held.append(np.stack([np.minimum(x, y), np.maximum(x, y)]))
             size += len(x)
             if size >= 1 << 18:
-                yield self._counted(held)
+                yield self._distinct(held)
                 held, size = [], 0
         if size:
-            yield self._counted(held)
+            yield self._distinct(held)
+
+    def _distinct(self, held):
+        rows = np.unique(np.concatenate(held, axis=1), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in rows], self.NAMES)
 
-    def _counted(self, held):
-        rows, counts = np.unique(np.concatenate(held, axis=1), axis=1, return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (*rows, counts)], self.NAMES)
 
+def _open_lists(lists: DataFrame, comps: DataFrame) -> DataFrame:
+    """(key, rep, n, last, comp, rows, open, rank, bitmap words) of the lists that hold two components or more.
 
-def _open_pairs(lists: DataFrame, comps: DataFrame) -> DataFrame:
-    """Candidate pairs of different components that the shared lists cannot rule out."""
-    rows = (lists.join(comps.withColumnRenamed("node", "rep"), "rep", "left")
+    ``rows`` is the list's length, ``open`` the number of open lists that hold the
+    set, ``rank`` the list's place among these, short lists first.  No pair across
+    components shares more lists than ``open``, or than its bitmaps allow.
+    """
+    comps = sized(comps.withColumnRenamed("node", "rep"), 32)
+    rows = (lists.select("key", "rep", "n", "last").join(comps, "rep", "left")
                  .select("key", "rep", "n", "last", F.coalesce("component", "rep").alias("comp")))
-    open_lists = (rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("rows"))
-                      .filter("lo < hi").select("key", F.ceil(F.col("rows") / LIST_BLOCK).alias("blocks")))
-    rows = stage(rows.join(open_lists, "key"), "jaccard-open")
-    side = F.pmod(F.xxhash64("rep"), "blocks").alias("side")
-    rows = rows.select("*", side).select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    rows = (rows.select("key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "rep", "n", "last", "comp")
+    keys = (rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("rows"))
+                .filter("lo < hi").select("key", "rows"))
+    rows = stage(rows.join(sized(stage(keys, "jaccard-open-keys"), 32), "key"), "jaccard-open")
+    bit = F.pmod(F.xxhash64("key"), F.lit(64 * MAP_WORDS))
+    words = [F.bit_or(F.when(F.floor(bit / 64) == w, F.expr(f"shiftleft(1L, cast(pmod(xxhash64(key), 64) as int))"))
+                      .otherwise(F.lit(0).cast("bigint"))).alias(f"m{w}") for w in range(MAP_WORDS)]
+    per_set = rows.groupBy("rep", "n").agg(F.count(F.lit(1)).alias("open"), *words)
+    order = Window.partitionBy("rep", "n").orderBy("rows", "key")  # a set's lists: no more than its shingles
+    return rows.withColumn("rank", F.row_number().over(order).cast("bigint")).join(per_set, ["rep", "n"])
+
+
+def _open_stars(rows: DataFrame, turn: int) -> DataFrame:
+    """(a, b): for each set the list head of another component that it shares most open lists with."""
+    order = F.xxhash64(F.lit(turn), "rep")
+    head = F.min(F.struct(order.alias("h"), "rep", "n", "last", "comp", "open"))
+    heads = rows.groupBy("key").agg(head.alias("head"))
+    both = rows.join(heads, "key").filter("comp != head.comp")
+    both = both.filter(_can_link(*(F.col(c) for c in ("n", "head.n", "last", "head.last", "open", "head.open"))))
+    return (both.groupBy("rep", F.col("head.rep").alias("a")).count()
+                .groupBy("rep").agg(F.max(F.struct("count", "a")).alias("best"))
+                .select(F.col("best.a").alias("a"), F.col("rep").alias("b")))
+
+
+def _open_pairs(rows: DataFrame) -> DataFrame:
+    """All candidate pairs of different components that the shared lists cannot rule out."""
+    blocks = F.ceil(F.col("rows") / LIST_BLOCK)
+    rows = rows.select("*", blocks.alias("blocks"), F.pmod(F.xxhash64("rep"), blocks).alias("side"))
+    rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    rows = (rows.select("key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "rep", "n", "last", "comp",
+                        "open", "rank", *(f"m{w}" for w in range(MAP_WORDS)))
                 .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j"))
-    pairs = map_rows(rows, ", ".join(f"{c} bigint" for c in _Pairs.NAMES), _Pairs, 1 << 14)
-    ends = ["a", "b", "na", "nb", "la", "lb"]
-    pairs = pairs.groupBy(*ends).agg(F.sum("shared").alias("shared"))
-    need = F.ceil(3 * (F.col("na") + F.col("nb")) / 7)
-    first = lambda n: F.col(n) - F.floor((3 * F.col(n) + 3) / 4) + 1
-    possible = lambda n, mine, theirs: (F.col(mine) > F.col(theirs)) | (F.col(n) - first(n) + F.col("shared") >= need)
-    return pairs.filter(possible("na", "la", "lb") & possible("nb", "lb", "la")).select("a", "b").distinct()
+    return map_rows(rows, ", ".join(f"{c} bigint" for c in _Pairs.NAMES), _Pairs, 1 << 14).distinct()
 
 
 # ------------------------------------------------------------------ operator
@@ -355,20 +432,23 @@ def components_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     edges = repeats.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     if boundary:
-        small = rows.filter("kind = 1").select("key", "last", "rep")
-        head = small.groupBy("key", "last").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).filter("a < z")
-        edges = edges.unionByName(small.join(head, ["key", "last"]).filter("rep != a")
-                                       .select("a", F.col("rep").alias("b")).distinct())
+        edges = edges.unionByName(_small_links(rows.filter("kind > 0")))
 
-    stars = (lists.filter("rep != head and 4 * head_n >= 3 * n").groupBy("rep", "head").count()
+    stars = (lists.filter("rep != head and 4 * least(n, head_n) >= 3 * greatest(n, head_n)").groupBy("rep", "head").count()
                   .groupBy("rep").agg(F.max(F.struct("count", F.col("head").alias("a"))).alias("best"))
                   .select(F.col("best.a").alias("a"), F.col("rep").alias("b")))
     edges = stage(edges.unionByName(verified(stars, docs)), "jaccard-first-links")
-    comps = stage(components(edges, "a", "b"), "jaccard-first-components")
-    more = verified(_open_pairs(lists, comps), docs)
-    # the first components stand for their links: only what joins them is left to do
-    joined = (comps.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
-    comps = stage(components(joined, "a", "b"), "jaccard-components")
+    comps = stage(components(edges, "a", "b"), "jaccard-components")
+    as_edges = lambda c: c.select(F.col("node").alias("a"), F.col("component").alias("b"))  # noqa: E731  stand for all links so far
+    for turn in range(STAR_ROUNDS + 1):
+        rows = lists = stage(_open_lists(lists, comps), "jaccard-open-sets")  # a list once closed stays closed
+        # the last turn looks at all open pairs, the others thin them out
+        pairs = stage(_open_stars(rows, turn) if turn < STAR_ROUNDS else _open_pairs(rows), "jaccard-candidates")
+        if turn < STAR_ROUNDS and pairs.isEmpty():
+            continue
+        found = verified(pairs, docs)
+        if not found.isEmpty():
+            comps = stage(components(as_edges(comps).unionByName(found), "a", "b"), "jaccard-components")
 
     by_group = (groups.join(comps.withColumnRenamed("node", "rep"), "rep", "left")
                       .select("digest", F.coalesce("component", "rep").alias("component_id")))
