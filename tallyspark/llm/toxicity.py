@@ -204,33 +204,34 @@ def feature_counts(df: DataFrame, costs: np.ndarray) -> tuple[np.ndarray, np.nda
     return counts, total if len(total) else np.zeros(2, np.int64)
 
 
-def weights(counts: np.ndarray, total: np.ndarray) -> np.ndarray:
-    """Log odds per bucket, 0 unless they are high and a likelihood-ratio test leaves no room for chance."""
-    if not total.all():
-        return np.zeros(counts.shape[1], np.float32)
-    # what other features bring to a bucket on average is taken off
-    tables = counts.reshape(2, ROWS, -1).astype(np.float32)
-    clean, toxic = np.maximum(0, tables - tables.mean(axis=2, keepdims=True)).reshape(2, -1)
-    both = clean + toxic
-    share = total[1] / total.sum()
-    with np.errstate(divide="ignore", invalid="ignore"):  # empty buckets
-        g = 2 * (np.where(toxic > 0, toxic * np.log(toxic / (both * share)), 0)
-                 + np.where(clean > 0, clean * np.log(clean / (both * (1 - share))), 0))
-    odds = np.log((toxic + .5) / (total[1] + 1)) - np.log((clean + .5) / (total[0] + 1))
-    return np.where((g > BEYOND) & (odds > ODDS), odds, 0).astype(np.float32)
+class Weigher:
+    """Word -> the highest log odds among its features, 0 unless they are high and a likelihood-ratio test leaves no room for chance.
 
+    A feature's documents of either label are the least count among its buckets.  Collisions
+    only ever add to a count, so clean documents are never understated, whatever the input size.
+    """
 
-class Weigher:
-    """Word -> the highest weight among its features; a feature's is the least of its buckets'."""
+    def __init__(self, counts: np.ndarray, total: np.ndarray):
+        self.clean, self.toxic = ([memoryview(t) for t in np.ascontiguousarray(side.reshape(ROWS, -1))] for side in counts)
+        self.n_clean, self.n_toxic = total.tolist()
 
-    def __init__(self, weight: np.ndarray):
-        self.tables = [memoryview(t) for t in np.ascontiguousarray(weight.reshape(ROWS, -1))]
+    def weight(self, clean: int, toxic: int) -> float:
+        if not toxic:
+            return 0.0
+        share = self.n_toxic / (self.n_clean + self.n_toxic)
+        g = toxic * math.log(toxic / ((clean + toxic) * share))
+        if clean:
+            g += clean * math.log(clean / ((clean + toxic) * (1 - share)))
+        odds = math.log((toxic + .5) / (self.n_toxic + 1)) - math.log((clean + .5) / (self.n_clean + 1))
+        return odds if 2 * g > BEYOND and odds > ODDS else 0.0
 
     def __call__(self, word: str) -> float:
+        if not self.n_clean or not self.n_toxic:
+            return 0.0
         best, mask = 0.0, (1 << BITS) - 1
         for h in features(word):
-            low = min(t[(h >> (BITS * r)) & mask] for r, t in enumerate(self.tables))
-            best = max(best, low)
+            at = [(h >> (BITS * r)) & mask for r in range(ROWS)]
+            best = max(best, self.weight(min(t[i] for t, i in zip(self.clean, at)), min(t[i] for t, i in zip(self.toxic, at))))
         return best
 
 
@@ -238,15 +239,16 @@ class Weigher:
 TOP_BIN = 200
 
 
-def raw_scores(df: DataFrame, costs: np.ndarray, weight: np.ndarray) -> DataFrame:
+def raw_scores(df: DataFrame, costs: np.ndarray, counts: np.ndarray, total: np.ndarray) -> DataFrame:
     """(doc_id, bin): quarter steps of the summed weights of each text's distinct restored words."""
     kind = df.schema["doc_id"].dataType.simpleString()
+    counts = counts.astype(np.uint32)
 
     def make():
         restore = Restorer(costs)
         memory = Generations(restore, 1 << 17)
 
-        known = Generations(Weigher(weight), 1 << 17)
+        known = Generations(Weigher(counts, total), 1 << 17)
 
         def step(batch):
             bins = [min(TOP_BIN, int(4 * sum(map(known.__getitem__, restore.words(t, memory))))) for t in texts(batch.column(1))]
@@ -291,8 +293,8 @@ def score(docs: DataFrame, labels: DataFrame, held_out: int = 2, folds: int = 4,
                     .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")))
     taught = stage(taught, "toxicity-labels")
     costs = language_model(trigram_counts(docs))
-    weight = weights(*feature_counts(docs.join(sized(taught, 16), "doc_id").select("text", "toxic"), costs))
-    raw = stage(raw_scores(docs, costs, weight), "toxicity-raw")
+    counts, total = feature_counts(docs.join(sized(taught, 16), "doc_id").select("text", "toxic"), costs)
+    raw = stage(raw_scores(docs, costs, counts, total), "toxicity-raw")
     per_bin = raw.join(sized(taught, 16), "doc_id").groupBy("bin", "toxic").count().collect()  # two rows a bin at most
     counts = np.zeros((2, TOP_BIN + 1))
     for b, toxic, n in per_bin:

@@ -62,6 +62,24 @@ def test_held_out_accuracy_and_hidden_words(spark):
     assert all(0 <= g.score <= 1 and g.predicted == (g.score >= .3) for g in got.values())
 
 
+def test_neutral_features_weigh_nothing_in_crowded_tables(monkeypatch):
+    """A few frequent words set the mean of a bucket; a feature rarer than that mean must not pass as one that no clean document holds."""
+    monkeypatch.setattr(tx, "BITS", 12)
+    rng, n_clean, n_toxic = np.random.default_rng(5), 20000, 1000
+    names = [f"common{i}" for i in range(200)] + [f"rare{i}" for i in range(2000)]
+    rate = np.array([.1] * 200 + [.006] * 2000)
+    counts = np.zeros((2, tx.ROWS << tx.BITS), np.int64)
+    at = tx._buckets(np.array([tx.features(w)[0] for w in names], np.uint64))
+    telling = tx._buckets(np.array(tx.features("moron")[:1], np.uint64))
+    for label, n in ((0, n_clean), (1, n_toxic)):
+        held = rng.poisson(rate * n)
+        for row in at:
+            np.add.at(counts[label], row, held)
+    counts[1, telling[:, 0]] += 300
+    weigh = tx.Weigher(counts.astype(np.uint32), np.array([n_clean, n_toxic]))
+    assert not any(map(weigh, names)) and weigh("moron") > 0
+
+
 def test_odd_rows(spark, make_docs):
     rows = [(i, "you are a fool " + "x" * (i % 5)) for i in range(0, 400, 2)] + [(i, f"a fine day number{i}") for i in range(1, 400, 2)]
     rows += [(500, None), (501, ""), (None, "you fool"), (502, "fool"), (502, "fool"), (503, "f00l"), (504, "a " * 50000)]
