@@ -185,6 +185,29 @@ def test_lines_are_numbered_over_splits_and_scratch_goes(spark, tmp_path):
     assert left <= {os.path.basename(x) for x in (p.months, p.rejects, p.runs, p.processed)}
 
 
+def test_lines_keep_their_numbers_when_the_listing_is_not_broadcast(spark, tmp_path, monkeypatch):
+    from tallyspark.plans import joins
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    for k in range(3):
+        _write(inbox, f"axis_{k}.csv", _axis(*((i, "10.00" if i % 50 else "bad") for i in range(3000))))
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
+    env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().conf()
+    spill = "spark.shuffle.spill.numElementsForceSpillThreshold"
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    env.set(spill, "100")
+    try:
+        p = paths(spark, str(inbox))
+        res = run_daily(spark, DEFAULT, p, max_files=3)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        env.remove(spill)
+    assert res.rejects == 180 and res.rows == 3 * 2940
+    got = sorted(r.line_no for r in spark.read.parquet(p.rejects).collect())
+    assert got == sorted(3 * [18 + i for i in range(0, 3000, 50)])
+
+
 def test_stream_is_one_run_by_default_and_reports(spark, tmp_path):
     inbox = tmp_path / "inbox"
     inbox.mkdir()
