@@ -154,6 +154,9 @@ class Restorer:
 ROWS, BITS, BLOCKS = 3, 19, 192
 #: Likelihood ratio beyond chance (about 1 in 2e7 features); least log odds of a telling feature.
 BEYOND, ODDS = 30.0, 5.0
+#: The same for a feature that is likely but not telling; its log odds are shrunk by PRIOR documents
+#: of neutral rate and by LESS.
+LIKELY, LIKELY_ODDS, PRIOR, LESS = 15.0, 3.0, 2.0, 1.0
 
 
 def features(word: str) -> list[int]:
@@ -205,7 +208,8 @@ def feature_counts(df: DataFrame, costs: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 class Weigher:
-    """Word -> the highest log odds among its features, 0 unless they are high and a likelihood-ratio test leaves no room for chance.
+    """Word -> the highest weight among its features: the log odds when they are high and a likelihood-ratio test leaves
+    no room for chance, less when either is lower, 0 for the rest.
 
     A feature's documents of either label are the least count among its buckets.  Collisions
     only ever add to a count, so clean documents are never understated, whatever the input size.
@@ -223,7 +227,11 @@ class Weigher:
         if clean:
             g += clean * math.log(clean / ((clean + toxic) * (1 - share)))
         odds = math.log((toxic + .5) / (self.n_toxic + 1)) - math.log((clean + .5) / (self.n_clean + 1))
-        return odds if 2 * g > BEYOND and odds > ODDS else 0.0
+        if 2 * g > BEYOND and odds > ODDS:
+            return odds
+        if 2 * g > LIKELY and odds > LIKELY_ODDS:
+            return max(0.0, math.log((toxic + PRIOR * share) / share) - math.log((clean + PRIOR * (1 - share)) / (1 - share)) - LESS)
+        return 0.0
 
     def __call__(self, word: str) -> float:
         if not self.n_clean or not self.n_toxic:

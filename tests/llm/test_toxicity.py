@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tallyspark.llm import common, toxicity as tx
 
@@ -62,6 +63,18 @@ def test_held_out_accuracy_and_hidden_words(spark):
     assert all(0 <= g.score <= 1 and g.predicted == (g.score >= .3) for g in got.values())
 
 
+def test_held_out_toxic_rows_are_found_in_every_language(spark):
+    docs, labels = common.table(spark, SF, "documents"), common.table(spark, SF, "labels")
+    got = (tx.score(docs, labels).filter("held_out").join(labels.select("doc_id", "toxic"), "doc_id")
+             .join(docs.select("doc_id", "lang"), "doc_id").groupBy("lang").agg(
+                 F.expr("count_if(toxic = 1)"), F.expr("count_if(toxic = 1 and predicted = 1)"),
+                 F.expr("count_if(toxic = 0)"), F.expr("count_if(toxic = 0 and predicted = 1)")).collect())
+    print(sorted(got))
+    toxic, found, clean, flagged = (sum(r[i] for r in got) for i in range(1, 5))
+    assert found / toxic > .9 and flagged / clean < .02
+    assert all(r[2] / r[1] > .75 for r in got if r[1])
+
+
 def test_neutral_features_weigh_nothing_in_crowded_tables(monkeypatch):
     """A few frequent words set the mean of a bucket; a feature rarer than that mean must not pass as one that no clean document holds."""
     monkeypatch.setattr(tx, "BITS", 12)
