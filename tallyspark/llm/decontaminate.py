@@ -91,10 +91,13 @@ def search(docs: DataFrame, items: DataFrame, percent: int = 75) -> DataFrame:
     shortest = sketch.agg(F.min("least")).first()[0]
     if shortest is None:
         shortest = 0
-    keys = with_hashes(docs, "doc_id").filter(F.col("nw") >= (shortest if shortest <= 1 else shortest + WORDS - 1))
-    probes = keys.select("doc_id", "nw", F.explode_outer("keys").alias("key"))
+    # a row of an id that repeats may hold a part only of what its document holds: sizes say nothing there
+    again = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("doc_id", F.lit(True).alias("again"))
+    rows = docs.join(sized(stage(again, "decontaminate-again"), 64), "doc_id", "left")
+    keys = with_hashes(rows, "doc_id", "again").filter((F.col("nw") >= (shortest if shortest <= 1 else shortest + WORDS - 1)) | F.col("again"))
+    probes = keys.select("doc_id", "nw", "again", F.explode_outer("keys").alias("key"))
     # a document's distinct shingles are at most its words
-    near = (probes.join(sized(sketch.select("item_id", "least", "key"), 64), "key").filter("nw >= least")
+    near = (probes.join(sized(sketch.select("item_id", "least", "key"), 64), "key").filter("nw >= least or again")
                   .select("doc_id", "item_id").distinct())
     near = stage(near, "decontaminate-near")
 

@@ -42,6 +42,13 @@ def test_like_brute_force(spark, make_docs, monkeypatch, limit):
     assert got == want and want
 
 
+def test_an_item_split_over_two_rows_of_an_id(spark, make_docs):
+    words = [f"w{i}" for i in range(44)]
+    items = spark.createDataFrame([(1, " ".join(words))], "item_id bigint, text string")
+    docs = make_docs([(7, " ".join(words[:22])), (7, " ".join(words[22:])), (8, " ".join(words[:22])), (9, " ".join(words))])
+    assert sorted(map(tuple, dc.search(docs, items).collect())) == [(7, 1, 40, 36), (9, 1, 40, 40)]
+
+
 def test_clean_and_no_rows(spark, make_docs):
     items = spark.createDataFrame([(1, "one two three four five six seven")], "item_id bigint, text string")
     docs = make_docs([(1, "x one two three four five six seven y"), (2, "x y z"), (None, "one two three four five six seven"), (3, None)])
