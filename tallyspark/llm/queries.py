@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
-from . import bpe, decontaminate, embed_dedup, jaccard_join, pii, quality, substring_dedup, token_store, toxicity, warc
+from . import (bpe, decontaminate, embed_dedup, jaccard_join, pii, quality, substring_dedup, token_store, toxicity, warc,
+               whitening)
 from .common import ship_package, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +61,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sixteen whitened components of every vector of ``embeddings``; see ``whitening.whiten``."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
@@ -70,7 +76,7 @@ def _shipped(query: Query) -> Query:
 
 QUERIES: dict[str, Query] = {q.__name__: _shipped(q) for q in (
     op1_embedding_dedup, op2_bpe_round_trip, op3_decontamination, op4_warc, op5_token_store, op6_substring_dedup,
-    op7_pii, op8_toxicity, op9_jaccard_join, op10_quality)}
+    op7_pii, op8_toxicity, op9_jaccard_join, op10_quality, op11_embedding_whitening)}
 
 #: SQL for those queries that SQL can express on whole tables.
 ORACLE: dict[str, str] = {"op3_decontamination": decontaminate.SQL}
