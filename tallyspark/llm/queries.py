@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
-from . import (bpe, decontaminate, embed_dedup, jaccard_join, pii, quality, substring_dedup, token_store, toxicity, warc,
-               whitening)
+from . import (bpe, decontaminate, embed_dedup, jaccard_join, maxscore, periodic_runs, pii, quality, substring_dedup,
+               token_store, toxicity, warc, whitening)
 from .common import ship_package, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +66,16 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op12_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five rows of greatest inner product for each vec_id divisible by 50 in ``embeddings``; see ``maxscore.top_k``."""
+    return maxscore.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every text of ``documents`` and its digest without them; see ``periodic_runs.digest``."""
+    return periodic_runs.digest(table(spark, sf_dir, "documents"))
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
@@ -76,7 +86,8 @@ def _shipped(query: Query) -> Query:
 
 QUERIES: dict[str, Query] = {q.__name__: _shipped(q) for q in (
     op1_embedding_dedup, op2_bpe_round_trip, op3_decontamination, op4_warc, op5_token_store, op6_substring_dedup,
-    op7_pii, op8_toxicity, op9_jaccard_join, op10_quality, op11_embedding_whitening)}
+    op7_pii, op8_toxicity, op9_jaccard_join, op10_quality, op11_embedding_whitening,
+    op12_exact_top_k, op13_periodic_runs)}
 
 #: SQL for those queries that SQL can express on whole tables.
-ORACLE: dict[str, str] = {"op3_decontamination": decontaminate.SQL}
+ORACLE: dict[str, str] = {"op3_decontamination": decontaminate.SQL, "op12_exact_top_k": maxscore.SQL}
