@@ -68,9 +68,11 @@ class Settings:
     max_files: int = MAX_FILES
     # header substring rules, applied in order, first hit renames the column
     header_rules: tuple[tuple[str, str], ...] = HEADER_RULES
-    # rows of the value -> label lookup above which it is joined by shuffle
+    # bytes of the value -> label lookup above which it is joined by shuffle
     # instead of broadcast
-    max_broadcast_rows: int = 2_000_000
+    max_broadcast_bytes: int = 32 << 20
+    # Files of a month table above which small ones are written anew
+    max_month_files: int = 64
     # Only these files of the inbox are statements
     file_glob: str = "*.{csv,txt,CSV,TXT}"
     key_columns: tuple[str, ...] = KEY_COLUMNS

@@ -32,6 +32,19 @@ def row_digest(parts: list[tuple[Column, str]]) -> Column:
     return F.sha2(F.concat_ws("|", *[_part(c, t) for c, t in parts]), 256)
 
 
+#: Column of month tables and the master with the whole digest behind the key, as 32 bytes.
+DIGEST = "row_digest"
+
+
+def digest_bytes(parts: list[tuple[Column, str]]) -> Column:
+    return F.unhex(row_digest(parts))
+
+
+def key_of(digest: Column, width: int = 16) -> Column:
+    """The row key (first ``width`` hexadecimal characters) of a digest in bytes."""
+    return F.lower(F.hex(F.substring(digest, 1, width // 2)))
+
+
 def row_key(parts: list[tuple[Column, str]], width: int = 16) -> Column:
     return F.substring(row_digest(parts), 1, width)
 

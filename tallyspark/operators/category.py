@@ -12,9 +12,9 @@ no skew to worry about however the values are distributed.
 
 With ``distinct=True`` the resolver instead runs once per distinct value and
 joins the (value -> label) table back.  That table grows with the data, so
-it is materialised to the checkpoint folder, counted, and broadcast only when
-below ``Settings.max_broadcast_rows``; otherwise it is a shuffle join with
-AQE skew splitting.
+it is materialised to the checkpoint folder, its bytes are summed, and it is
+broadcast only up to ``Settings.max_broadcast_bytes``; otherwise it is a shuffle
+join that deals hot values over many parts.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from ..config import Settings
 from ..functions.fuzzy import MAX_BITS, lcs_bits, lcs_dp, match_masks, ratio, token_sort, token_sort_py
 from ..functions.literals import json_literal, string_map
 from ..functions.text import norm
-from ..plans.joins import size_checked_join
+from ..plans.joins import lookup_join
 
 
 @dataclass(frozen=True)
@@ -161,12 +161,10 @@ def create_subcategory(df: DataFrame, settings: Settings, source_col: str = "raw
     if not distinct:
         return df.withColumn(target_col, resolve_expr(
             F.col(source_col), settings, manual_label, case_sensitive, fuzzy_threshold))
-    values = df.select(F.col(source_col).alias("__v")).distinct()
-    resolved = values.select("__v", resolve_expr(
-        F.col("__v"), settings, manual_label, case_sensitive, fuzzy_threshold).alias(target_col))
-    joined = size_checked_join(df, resolved, F.col(source_col).eqNullSafe(F.col("__v")),
-                               settings.max_broadcast_rows)
-    return joined.drop("__v")
+    values = df.groupBy(F.col(source_col).alias("__v")).agg(F.count(F.lit(1)).alias("n"))
+    resolved = values.select("__v", "n", resolve_expr(
+        F.col("__v"), settings, manual_label, case_sensitive, fuzzy_threshold).alias("__label"))
+    return lookup_join(df, F.col(source_col), resolved, settings.max_broadcast_bytes).withColumnRenamed("__label", target_col)
 
 
 def category_map(settings: Settings, case_sensitive: bool | None = None) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DateType, DecimalType, StringType, TimestampType
 
 from ..config import KEY_COLUMNS, Settings
-from ..functions.keys import row_digest, row_key, txn_key
+from ..functions.keys import DIGEST, digest_bytes, key_of, row_key, txn_key
 
 _WANTED = {"date": "date", "particulars": "string", "dr": "decimal", "cr": "decimal"}
 _KINDS = {DateType: "date", TimestampType: "date", StringType: "string", DecimalType: "decimal"}
@@ -31,14 +31,29 @@ def key_parts(df: DataFrame, columns: tuple[str, ...]) -> list[tuple[Column, str
 
 
 def build_unique_key(df: DataFrame, settings: Settings, unique_key: str = "uuid") -> DataFrame:
-    """K1 with the K2 check (driver side, on the schema only)."""
+    """K1 with the K2 check (driver side, on the schema only); taken from the stored digest where there is one."""
+    if DIGEST in df.columns:
+        return df.withColumn(unique_key, key_of(F.col(DIGEST)))
     return df.withColumn(unique_key, row_key(key_parts(df, settings.key_columns)))
 
 
+def with_digest(df: DataFrame, columns: tuple[str, ...] = KEY_COLUMNS) -> DataFrame:
+    """``df`` with the digest of its key columns (K2-checked) stored as a column, unless it has one or lacks them."""
+    if DIGEST in df.columns or not set(columns) <= set(df.columns):
+        return df
+    return df.withColumn(DIGEST, digest_bytes(key_parts(df, columns)))
+
+
 def row_digest_of(df: DataFrame, key: str, columns: tuple[str, ...] = KEY_COLUMNS) -> Column:
-    """The whole digest behind the 16-character key, for comparisons; the key itself where its columns are absent."""
+    """The whole digest behind the 16-character key, for comparisons.
+
+    The stored one where the table holds it; computed for tables written without;
+    the key itself where its columns are absent.
+    """
+    if DIGEST in df.columns:
+        return F.col(DIGEST)
     if set(columns) <= set(df.columns):
-        return row_digest(key_parts(df, columns))
+        return digest_bytes(key_parts(df, columns))
     return F.col(key)
 
 

@@ -9,12 +9,15 @@ publishes all its months through one commit.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+from ..functions.keys import DIGEST
+from ..sources import paths
 from ..sources.paths import exists
-from .keys import row_digest_of
+from .keys import row_digest_of, with_digest
 from .parse import month_of
 
 MONTH = "month"
@@ -29,13 +32,13 @@ def anti_join(new: DataFrame, existing: DataFrame, key: str = "uuid") -> DataFra
 
     Duplicates inside ``new`` are kept.  The key is a prefix of a digest; two rows
     are the same only if the whole digest agrees, so a collision drops no row.
-    The other side is read with the key's columns only; Catalyst/AQE choose
-    broadcast or shuffle from its measured size, and the key hash spreads any one
-    month over all tasks.
+    Month tables store the digest, so their side reads that column (32 bytes a
+    row) and no text; Catalyst/AQE choose broadcast or shuffle from its measured
+    size, and the digest spreads any one month over all tasks.
     """
-    old = existing.select(MONTH, key, row_digest_of(existing, key).alias("__digest"))
+    old = existing.select(MONTH, row_digest_of(existing, key).alias("__digest"))
     return (new.withColumn("__digest", row_digest_of(new, key))
-               .join(old, [MONTH, key, "__digest"], "left_anti").select(*new.columns))
+               .join(old, [MONTH, "__digest"], "left_anti").select(*new.columns))
 
 
 def batch_months(batch: DataFrame) -> list[str]:
@@ -46,6 +49,7 @@ def batch_months(batch: DataFrame) -> list[str]:
 def read_existing(batch: DataFrame, base_path: str, months: list[str]) -> DataFrame | None:
     """The month tables the batch touches (partition pruning on ``month``)."""
     spark = batch.sparkSession
+    recover_months(spark, base_path)
     if not months or not exists(spark, base_path):
         return None
     return spark.read.parquet(base_path).filter(F.col(MONTH).isin(months))
@@ -59,23 +63,29 @@ class LoadResult:
     incoming_by_month: dict[str, int] | None = None
 
 
-def route(batch: DataFrame, base_path: str, key: str = "uuid") -> LoadResult:
+def route(batch: DataFrame, base_path: str, key: str = "uuid", counts: DataFrame | None = None) -> LoadResult:
     """J2 + S8-S10: append the new rows of every month of ``batch``.
 
-    ``batch`` should be materialised by the caller (it is read twice: months
-    and rows).  A second identical run appends nothing.
+    ``batch`` is read twice, for its months and for its rows; ``counts`` may give the
+    same rows by month from a table that is cheaper to read.  A second identical
+    run appends nothing.  Rows are stored with their digest; a table that was
+    written without keeps its columns, and its digests are computed as it is read.
     """
     if MONTH not in batch.columns:
         batch = with_month(batch)
     # one small job: months of the batch with their row counts (bounded by calendar months)
     per_month = {r[MONTH]: int(r["n"]) for r in
-                 batch.groupBy(MONTH).agg(F.count(F.lit(1)).alias("n")).collect()}
+                 (batch if counts is None else counts).groupBy(MONTH).agg(F.count(F.lit(1)).alias("n")).collect()}
     months = sorted(per_month)
     incoming = sum(per_month.values())
     if incoming == 0:                       # nothing arrived: touch no table
         return LoadResult(months=[], incoming=0, delta=0, incoming_by_month={})
     existing = read_existing(batch, base_path, months)
+    if existing is None or DIGEST in existing.columns:
+        batch = with_digest(batch)
     delta = batch if existing is None else anti_join(batch, existing, key)
+    if existing is not None and DIGEST not in existing.columns:
+        delta = delta.drop(DIGEST)
     # rebalance by month: AQE packs small months into few files and splits a
     # hot month over several tasks, instead of every task writing every month
     obs = Observation("load")
@@ -85,10 +95,72 @@ def route(batch: DataFrame, base_path: str, key: str = "uuid") -> LoadResult:
     return LoadResult(months=months, incoming=incoming, delta=n_delta, incoming_by_month=per_month)
 
 
+#: Folders beside the months; Spark's sources do not look into names with an underscore.
+_NEW, _OLD = "_compacted-", "_replaced-"
+
+
+def set_aside(spark: SparkSession, base_path: str) -> list[str]:
+    """Months that a compaction has moved away and not put back yet."""
+    there = paths.names(spark, base_path)
+    return [m for n in there if n.startswith(_OLD) for m in paths.names(spark, f"{base_path}/{n}") if m not in there]
+
+
+def recover_months(spark: SparkSession, base_path: str) -> None:
+    """End what a compaction left undone: a month that was set aside gets its new files, or else its old ones back.
+
+    Writers of month tables call this first; there is one at a time.  Readers refuse
+    a table of which a month is set aside (``set_aside``).
+    """
+    if not exists(spark, base_path):
+        return
+    left = [n for n in paths.names(spark, base_path) if n.startswith((_NEW, _OLD))]
+    for old in (n for n in left if n.startswith(_OLD)):
+        new = f"{base_path}/{_NEW}{old.removeprefix(_OLD)}"
+        for month in paths.names(spark, f"{base_path}/{old}"):
+            if not exists(spark, f"{base_path}/{month}"):
+                ready = f"{new}/{month}"
+                paths.rename(spark, ready if exists(spark, ready) else f"{base_path}/{old}/{month}", f"{base_path}/{month}")
+    for n in left:
+        paths.delete(spark, f"{base_path}/{n}")
+
+
+def compact(spark: SparkSession, base_path: str, max_files: int, target_bytes: int = 128 << 20) -> list[str]:
+    """Write months anew that many appends have left in more than ``max_files`` files, small ones on average.
+
+    All of them go through one job into a folder beside the months, in files of about
+    ``target_bytes``.  Then month by month the old folder is set aside and the new
+    one takes its name; ``recover_months`` ends a swap that a lost run began.  One
+    writer at a time, as for the appends.  Returns the months.
+    """
+    recover_months(spark, base_path)
+    if not exists(spark, base_path):
+        return []
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(base_path)
+    found = files.groupBy(F.col(MONTH).cast("string").alias(MONTH)).agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("bytes")).collect()
+    want = {r[MONTH]: -(-r["bytes"] // target_bytes) for r in found if r["n"] > max(max_files, 2 * -(-r["bytes"] // target_bytes))}
+    if not want:
+        return []
+    run = uuid.uuid4().hex[:12]
+    rows = spark.read.parquet(base_path).filter(F.col(MONTH).isin(sorted(want)))
+    parts = F.create_map([F.lit(v) for m, n in want.items() for v in (m, n)])
+    place = F.xxhash64("_metadata.file_path", "_metadata.row_index")         # equal rows spread too
+    spread = F.pmod(place, parts[F.col(MONTH)])
+    (rows.repartition(min(sum(want.values()), 1 << 16), MONTH, spread)
+         .write.partitionBy(MONTH).parquet(f"{base_path}/{_NEW}{run}"))
+    for month in sorted(want):
+        name = f"{MONTH}={month}"
+        paths.rename(spark, f"{base_path}/{name}", f"{base_path}/{_OLD}{run}/{name}")
+        paths.rename(spark, f"{base_path}/{_NEW}{run}/{name}", f"{base_path}/{name}")
+    recover_months(spark, base_path)
+    return sorted(want)
+
+
 def write_fresh(df: DataFrame, base_path: str) -> None:
     """Replace exactly the months present in ``df`` (dynamic partition overwrite)."""
     if MONTH not in df.columns:
         df = with_month(df)
+    df = with_digest(df)
+    recover_months(df.sparkSession, base_path)
     (df.hint("rebalance", MONTH).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(MONTH).parquet(base_path))
 

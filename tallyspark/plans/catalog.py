@@ -8,13 +8,15 @@ all of them.  ``ORACLE`` holds the matching DuckDB SQL.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..config import DEFAULT, Settings
+from ..functions.keys import DIGEST
 from ..operators import category, clean, consolidate, keys, load, parse, report
 from ..session import scratch_path
-from ..sources import sinks, statements
+from ..sources import sinks, statements, versions
 from . import oracle, synth, transform as tr
 from .consolidate import run_consolidate
 from .daily import DailyPaths, run_daily
@@ -35,7 +37,7 @@ def cleaned_rows(spark: SparkSession, sf_dir: str, s: Settings = DEFAULT,
 
 
 def transformed_rows(spark: SparkSession, sf_dir: str, s: Settings = DEFAULT,
-                     lineage: bool = False) -> DataFrame:
+                     lineage: bool = False, digest: bool = False) -> DataFrame:
     """E3 over the cleaned rows.
 
     The parsed rows (T1-T11 done) are written once to the shared scratch
@@ -44,7 +46,7 @@ def transformed_rows(spark: SparkSession, sf_dir: str, s: Settings = DEFAULT,
     """
     keep = ("file_name", "line_no") if lineage else ()
     return tr.transform(cleaned_rows(spark, sf_dir, s, lineage), s, keep=keep,
-                        stage=lambda d: materialize(d, "prepared"))
+                        stage=lambda d: materialize(d, "prepared"), digest=digest)
 
 
 def parsed_rows(spark: SparkSession, sf_dir: str, s: Settings = DEFAULT) -> DataFrame:
@@ -55,8 +57,8 @@ def parsed_rows(spark: SparkSession, sf_dir: str, s: Settings = DEFAULT) -> Data
 
 
 def _flat(df: DataFrame) -> DataFrame:
-    """Array column rendered as text so results compare across engines."""
-    return df.withColumn("split", F.array_join("split", "|"))
+    """Array column rendered as text so results compare across engines; the stored digest is left out."""
+    return df.withColumn("split", F.array_join("split", "|")).drop(DIGEST)
 
 
 # ---------------------------------------------------------------- queries
@@ -105,7 +107,7 @@ def q_monthly_category(spark, sf_dir):
 
 def batch_with_month(spark, sf_dir) -> DataFrame:
     """Transformed rows with lineage and month, written once to the shared scratch folder."""
-    return materialize(load.with_month(transformed_rows(spark, sf_dir, lineage=True)), "batch")
+    return materialize(load.with_month(transformed_rows(spark, sf_dir, lineage=True, digest=True)), "batch")
 
 
 def _seed(batch: DataFrame) -> DataFrame:
@@ -144,13 +146,12 @@ def q_statement_files(spark, sf_dir):
 
 
 def q_listing(spark, sf_dir):
-    """Statement files with their line counts (listing joined to a line count)."""
+    """Statement files with their line counts (listing joined to a line count), empty ones with 0."""
     inbox = _write_inbox(spark, sf_dir)
-    listing = statements.list_statements(spark, inbox).select(
-        F.regexp_extract("path", r"file_name=([^/]+)/", 1).alias("statement"), "path")
+    listing = statements.list_statements(spark, inbox).select(F.col("file_name").alias("statement"), "path")
     counts = (spark.read.text(inbox).select(F.col("_metadata.file_path").alias("path"))
                    .groupBy("path").agg(F.count(F.lit(1)).alias("n_lines")))
-    return listing.join(counts, "path").select("statement", "n_lines")
+    return listing.join(counts, "path", "left").select("statement", F.coalesce("n_lines", F.lit(0)).alias("n_lines"))
 
 
 def _daily_paths(spark, inbox) -> DailyPaths:
@@ -175,7 +176,7 @@ def q_consolidate(spark, sf_dir):
     run_daily(spark, DEFAULT, paths, max_files=10**9)
     master = scratch_path(spark, "master")
     run_consolidate(spark, DEFAULT, paths.months, master, paths.runs)
-    return _flat(spark.read.parquet(master))
+    return _flat(versions.read(spark, master))
 
 
 def q_duplicates(spark, sf_dir):
@@ -269,16 +270,81 @@ def q_run_report(spark, sf_dir):
 
 def q_stream_daily(spark, sf_dir):
     """E1 as a Structured Streaming job (AvailableNow, several micro-batches)."""
-    from ..streaming.daily import start_daily_stream
-    paths = _daily_paths(spark, _write_inbox(spark, sf_dir))
-    q = start_daily_stream(spark, DEFAULT, paths, scratch_path(spark, "stream-ckpt"),
-                           max_files_per_trigger=8)   # no key spans two files here
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    paths = _drained(spark, sf_dir)
     return _flat(spark.read.parquet(paths.months))
 
 
+def _drained(spark, sf_dir) -> DailyPaths:
+    from ..streaming.daily import run_daily_stream
+    paths = _daily_paths(spark, _write_inbox(spark, sf_dir))
+    run_daily_stream(spark, DEFAULT, paths, scratch_path(spark, "stream-ckpt"), max_files_per_trigger=8)   # no key spans two files here
+    return paths
+
+
+def _balance(spark, paths: DailyPaths) -> DataFrame:
+    clean_rows = spark.read.parquet(paths.months).agg(F.count(F.lit(1)).alias("clean"))
+    rejected = spark.read.parquet(paths.rejects).groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
+    return rejected.unionByName(clean_rows.select(F.lit("clean").alias("reason"), F.col("clean").alias("rows")))
+
+
+def q_stream_balance(spark, sf_dir):
+    """S6 + D4 on the stream: clean rows and rejects, empty files included; the same as the batch job's."""
+    return _balance(spark, _drained(spark, sf_dir))
+
+
+def q_master_order(spark, sf_dir):
+    """O1: the written master's rows in file order: none out of order, no two files overlapping, its ends."""
+    batch = batch_with_month(spark, sf_dir).drop("file_name", "line_no")
+    base, master = scratch_path(spark, "months"), scratch_path(spark, "master")
+    load.route(batch, base)
+    run_consolidate(spark, DEFAULT, base, master, scratch_path(spark, "runs"))
+    return consolidate.order_report(consolidate.order_witness(versions.read(spark, master)))
+
+
+def q_incremental_consolidate(spark, sf_dir):
+    """E2 after each of three loads (half the files, all, credits of even years taken out): the last master."""
+    batch = batch_with_month(spark, sf_dir).drop("line_no")
+    base, master, runs = scratch_path(spark, "months"), scratch_path(spark, "master"), scratch_path(spark, "runs")
+    load.route(_seed(batch).drop("file_name"), base)
+    run_consolidate(spark, DEFAULT, base, master, runs)
+    batch = batch.drop("file_name")
+    load.route(batch, base)
+    run_consolidate(spark, DEFAULT, base, master, runs)
+    load.write_fresh(batch.filter(F.col("dr").isNotNull() & (F.substring("month", 1, 4).cast("int") % 2 == 0)), base)
+    run_consolidate(spark, DEFAULT, base, master, runs)
+    return _flat(versions.read(spark, master))
+
+
+def q_compaction(spark, sf_dir):
+    """Eight appends to every month, then compaction: rows by month, and whether few files are left."""
+    batch = batch_with_month(spark, sf_dir).drop("line_no")
+    base, appends = scratch_path(spark, "months"), 8
+    nth = F.pmod(F.regexp_extract("file_name", r"_([0-9]+)[.]csv$", 1).cast("bigint"), F.lit(appends))
+    for i in range(appends):
+        load.route(batch.filter(nth == i).drop("file_name"), base)
+    load.compact(spark, base, max_files=2)
+    rows = spark.read.parquet(base).select("month", F.col("_metadata.file_path").alias("file"))
+    return rows.groupBy("month").agg(F.count(F.lit(1)).alias("rows"), (F.count_distinct("file") <= 2).alias("few_files"))
+
+
+def q_column_check(spark, sf_dir):
+    """K2: key columns as they are, and with faults: rows and distinct keys, or why no key can be built."""
+    df = materialize(transformed_rows(spark, sf_dir).drop("uuid"), "rows")
+    variants = {
+        "as_read": df, "timestamp_date": df.withColumn("date", F.col("date").cast("timestamp")), "no_dr": df.drop("dr"),
+        "text_date": df.withColumn("date", F.col("date").cast("string")), "float_amounts": df.withColumns({
+            c: F.col(c).cast("double") for c in ("dr", "cr")}),
+        "three_places": df.withColumn("dr", F.col("dr").cast("decimal(18,3)"))}
+    out = []
+    for name, v in variants.items():
+        try:
+            found, fault = keys.build_unique_key(v, DEFAULT).agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("uuid").alias("keys")), None
+        except ValueError as e:
+            found, fault = v.agg(F.count(F.lit(1)).alias("rows"), F.lit(0).cast("bigint").alias("keys")), str(e)
+        out.append(found.select(F.lit(name).alias("variant"), "rows", "keys", F.lit(fault).cast("string").alias("fault")))
+    return reduce(DataFrame.unionByName, out)
+
+
 def q_latest_month(spark, sf_dir):
     """U2 (D3): keys that span two months and differ in another column; the later month wins."""
     batch = batch_with_month(spark, sf_dir)
@@ -315,12 +381,10 @@ def q_balance(spark, sf_dir):
     paths = _daily_paths(spark, inbox)
     run_daily(spark, DEFAULT, paths, max_files=10**9)
     run_daily(spark, DEFAULT, paths, max_files=10**9)   # nothing new: no reject is logged twice
-    clean_rows = spark.read.parquet(paths.months).agg(F.count(F.lit(1)).alias("clean"))
-    rejected = spark.read.parquet(paths.rejects).groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
-    return rejected.unionByName(clean_rows.select(F.lit("clean").alias("reason"), F.col("clean").alias("rows")))
+    return _balance(spark, paths)
 
 
-#: Columns of the month pivot: a fixed list, so that the result has one schema whatever the data.
+#: Columns of the month pivot: a fixed list, so that the result has one schema whatever the data; other months share one column.
 PIVOT_MONTHS = [f"{y}-{m:02d}" for y in range(1994, 2004) for m in range(1, 13)]
 
 
@@ -357,6 +421,11 @@ QUERIES: dict[str, Query] = {
     "S8_fresh_write": q_fresh_write,
     "S2_file_guard": q_file_guard,
     "D4_balance": q_balance,
+    "D4_stream_balance": q_stream_balance,
+    "O1_master_order": q_master_order,
+    "E2_incremental": q_incremental_consolidate,
+    "S9_compaction": q_compaction,
+    "K2_column_check": q_column_check,
 }
 
 
@@ -421,7 +490,8 @@ def _lines_per_file_sql() -> str:
 all_lines AS (SELECT file_name, axis FROM rows, (SELECT unnest([1, 2]) AS copy) c WHERE c.copy = 1 OR m = 10)
 SELECT file_name AS statement,
        count(*) + max(CASE WHEN axis THEN {s.bank('axis').skip_rows} ELSE {s.bank('hdfc').skip_rows} END) + 1 AS n_lines
-FROM all_lines GROUP BY file_name"""
+FROM all_lines GROUP BY file_name
+UNION ALL SELECT unnest({list(synth.EMPTY_FILES)}), 0"""
 
 
 _DEDUP = f"""
@@ -480,7 +550,7 @@ SELECT Category, SubCategory, count(*) AS n_txn, CAST(sum(dr) AS DECIMAL(38,2))
 FROM transformed GROUP BY ROLLUP (Category, SubCategory)"""),
     "DV_month_pivot": _transformed_select("SELECT Category, " + ", ".join(
         f"CAST(sum(dr) FILTER (WHERE strftime(date, '%Y-%m') = '{m}') AS DECIMAL(38,2)) AS \"{m}\"" for m in PIVOT_MONTHS)
-        + " FROM transformed GROUP BY Category"),
+        + f", CAST(sum(dr) FILTER (WHERE strftime(date, '%Y-%m') NOT BETWEEN '{PIVOT_MONTHS[0]}' AND '{PIVOT_MONTHS[-1]}') AS DECIMAL(38,2)) AS other FROM transformed GROUP BY Category"),
     "U2_latest_month": _transformed_select(_BATCH + f""",
 both_ AS (SELECT {TRANSFORMED_TEXT_COLS}, month AS source_month FROM batch
   UNION ALL SELECT {TRANSFORMED_TEXT_COLS.replace("payment_to", "'late ' || payment_to AS payment_to")},
@@ -490,12 +560,32 @@ SELECT * EXCLUDE (rk) FROM ranked WHERE rk = 1"""),
     "S8_fresh_write": _transformed_select(_BATCH + f"""
 SELECT {TRANSFORMED_TEXT_COLS}, month FROM batch
 WHERE dr IS NOT NULL OR month NOT IN (SELECT month FROM batch WHERE dr IS NOT NULL AND CAST(substr(month, 1, 4) AS INTEGER) % 2 = 0)"""),
-    "S2_file_guard": "WITH " + oracle.synth_cte().strip() + """
-SELECT 'ETL' AS pipeline, 'FAILURE' AS status, count(DISTINCT file_name) AS files FROM rows""",
+    "S2_file_guard": "WITH " + oracle.synth_cte().strip() + f"""
+SELECT 'ETL' AS pipeline, 'FAILURE' AS status, count(DISTINCT file_name) + {len(synth.EMPTY_FILES)} AS files FROM rows""",
     "D4_balance": "WITH " + oracle.synth_cte().strip() + f""",
 all_lines AS (SELECT m FROM rows, (SELECT unnest([1, 2]) AS copy) c WHERE c.copy = 1 OR m = 10)
 SELECT CASE WHEN m BETWEEN 0 AND 9 THEN {oracle.reject_reason_sql()} ELSE 'clean' END AS reason, count(*) AS rows
-FROM all_lines GROUP BY ALL""",
+FROM all_lines GROUP BY ALL
+UNION ALL SELECT 'no_header', {len(synth.EMPTY_FILES)}""",
+    "O1_master_order": _transformed_select(_BATCH + f""",
+master AS (SELECT DISTINCT date, uuid FROM ({_DEDUP}))
+SELECT (SELECT count(*) FROM ({_DEDUP})) AS rows, CAST(0 AS BIGINT) AS out_of_order, CAST(0 AS BIGINT) AS overlapping_files,
+       min(k).date AS first_date, min(k).uuid AS first_uuid, max(k).date AS last_date, max(k).uuid AS last_uuid
+FROM (SELECT {{'date': date, 'uuid': uuid}} AS k FROM master)"""),
+    "E2_incremental": _transformed_select(_BATCH + f""",
+left_in AS (SELECT * FROM batch WHERE dr IS NOT NULL
+  OR month NOT IN (SELECT month FROM batch WHERE dr IS NOT NULL AND CAST(substr(month, 1, 4) AS INTEGER) % 2 = 0))
+SELECT *, {_filter_app_sql()} AS filter_app FROM (SELECT DISTINCT {TRANSFORMED_TEXT_COLS}, month AS source_month FROM left_in)"""),
+    "S9_compaction": _transformed_select(_BATCH + """
+SELECT month, count(*) AS rows, true AS few_files FROM batch GROUP BY month"""),
+    "K2_column_check": _transformed_select("""
+, counted AS (SELECT count(*) AS rows, count(DISTINCT uuid) AS keys FROM transformed)
+SELECT variant, rows, CASE WHEN fault IS NULL THEN keys ELSE 0 END AS keys, fault FROM counted, (VALUES
+  ('as_read', NULL), ('timestamp_date', NULL),
+  ('no_dr', 'no row key can be built from dr: absent'),
+  ('text_date', 'no row key can be built from date: string'),
+  ('float_amounts', 'no row key can be built from dr: double, cr: double'),
+  ('three_places', 'no row key can be built from dr: decimal(18,3)')) v(variant, fault)"""),
 })
 
 
@@ -507,6 +597,7 @@ SELECT v AS raw_category, label AS best_label, score FROM (
 WHERE rk = 1"""
 
 
+ORACLE["D4_stream_balance"] = ORACLE["D4_balance"]
 ORACLE.update({
     "C5_fuzzy": _fuzzy_sql(),
     "F2_run_report": _transformed_select(_BATCH + """

@@ -29,16 +29,38 @@ def size_checked(df: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
 
 
-def size_checked_join(big: DataFrame, small: DataFrame, cond: Column, max_rows: int,
-                      how: str = "left") -> DataFrame:
-    """Join ``small`` onto ``big``; broadcast only when ``small`` is proven small.
+def text_bytes(*columns: Column) -> Column:
+    """Bytes of a row that holds these texts, with what a hash table adds to it."""
+    return F.lit(64) + sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in columns), F.lit(0))
 
-    ``small`` is written to the shared checkpoint folder first, so its exact row count
-    is known before planning the join and it is not recomputed.  Above
-    ``max_rows`` the join is a shuffle join (AQE splits skewed partitions).
+
+def lookup_join(big: DataFrame, key: Column, lookup: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """Left join of ``lookup`` (texts ``__v``, ``__label``, and ``n``, the rows of ``big`` that hold the value) onto ``big``.
+
+    ``lookup`` holds every value of ``key`` once and grows with the data.  It is
+    written to the shared checkpoint folder and its bytes are summed: up to
+    ``max_bytes`` it is broadcast.  Beyond, the join is a shuffle on the value and
+    a salt: a value is dealt over one part for each 64th of a task's share of
+    all rows that it holds, and its lookup row is sent to every part.  The list of
+    such values has at most 64 rows a partition; it is broadcast, in longer shares
+    if its texts exceed the bound.  Adds ``__label``.
     """
-    small = materialize(small, "lookup")
-    n = small.count()
-    if n <= max_rows:
-        return big.join(F.broadcast(small), cond, how)
-    return big.join(small, cond, how)
+    limit = BROADCAST_BYTES if max_bytes is None else max_bytes
+    lookup = materialize(lookup, "lookup")
+    size, rows = lookup.agg(F.sum(text_bytes(F.col("__v"), F.col("__label"))), F.sum("n")).first()
+    if (size or 0) <= limit:
+        return big.join(F.broadcast(lookup.drop("n")), key.eqNullSafe(F.col("__v")), "left").drop("__v")
+    tasks = int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = max(1, rows // (64 * tasks))
+    while True:
+        parts = F.ceil(F.col("n") / F.lit(share))
+        hot = lookup.filter(F.col("n") > share).select(F.col("__v").alias("__hot"), parts.alias("__parts"))
+        if (hot.agg(F.sum(text_bytes(F.col("__hot")))).first()[0] or 0) <= max(limit, 1 << 20):
+            break
+        share *= 4
+    salted = lookup.withColumn("__part", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1))).drop("n")
+    dealt = (big.withColumn("__at", F.monotonically_increasing_id())
+                .join(F.broadcast(hot), key.eqNullSafe(F.col("__hot")), "left")
+                .withColumn("__deal", F.pmod("__at", F.coalesce("__parts", F.lit(1)))))
+    same = key.eqNullSafe(F.col("__v")) & (F.col("__deal") == F.col("__part"))
+    return dealt.join(salted, same, "left").drop("__v", "__at", "__hot", "__parts", "__deal", "__part")

@@ -172,8 +172,12 @@ def preamble_lines(lines: DataFrame, settings: Settings) -> DataFrame:
          .alias("line"))
 
 
+#: Exports of 0 bytes that come with the written statements, one a bank.
+EMPTY_FILES = ("axis_stmt_empty.csv", "hdfc_stmt_empty.csv")
+
+
 def write_statement_files(lineitem: DataFrame, settings: Settings, path: str) -> None:
-    """Write the synthetic statements as real export files under ``path``.
+    """Write the synthetic statements as real export files under ``path``, with an empty one for each bank.
 
     One text file per statement (``path/file_name=<name>/part-*.txt``):
     preamble, header, then the data lines in order.  Each statement is one
@@ -184,3 +188,6 @@ def write_statement_files(lineitem: DataFrame, settings: Settings, path: str) ->
     allrows = data.select("file_name", "line_no", "line").unionByName(pre)
     (allrows.repartition("file_name").sortWithinPartitions("file_name", "line_no")
             .select("file_name", "line").write.mode("overwrite").partitionBy("file_name").text(path))
+    nothing = lineitem.sparkSession.createDataFrame([], "line string")
+    for name in EMPTY_FILES:
+        nothing.write.mode("overwrite").text(f"{path}/file_name={name}")

@@ -27,22 +27,44 @@ def move(spark: SparkSession, src: str, dst_dir: str) -> str:
     return target.toString()
 
 
+def modified_millis(spark: SparkSession, path: str) -> int:
+    fs, p = _fs(spark, path)
+    return int(fs.getFileStatus(p).getModificationTime())
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)
 
 
-def replace(spark: SparkSession, src: str, dst: str) -> None:
-    """Put the folder ``src`` in the place of ``dst``; on failure ``dst`` stays what it was."""
+def rename(spark: SparkSession, src: str, dst: str) -> None:
+    """Give ``src`` the name ``dst``, which must be free."""
     fs, s = _fs(spark, src)
-    jvm = spark.sparkContext._jvm
-    d, old = jvm.org.apache.hadoop.fs.Path(dst), jvm.org.apache.hadoop.fs.Path(dst.rstrip("/") + ".old")
-    fs.delete(old, True)
-    had = bool(fs.exists(d))
-    if had and not fs.rename(d, old):
-        raise IOError(f"could not set {dst} aside")
-    if not fs.rename(s, d):
-        if had:
-            fs.rename(old, d)
-        raise IOError(f"could not publish {src} as {dst}")
-    fs.delete(old, True)
+    d = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(dst)
+    fs.mkdirs(d.getParent())
+    if fs.exists(d) or not fs.rename(s, d):
+        raise IOError(f"could not rename {src} to {dst}")
+
+
+def names(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder, none if it does not exist; for folders of bounded length."""
+    fs, p = _fs(spark, folder)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()

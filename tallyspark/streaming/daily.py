@@ -5,20 +5,28 @@
 stops, ``cleanSource=archive`` moves finished files away, and every
 micro-batch goes through the same clean / transform / anti-join append as
 the batch job, so replays after a failure append nothing twice.
+
+A file without a readable line (empty, or corrupt from its start) is in no
+micro-batch.  So the run lists the inbox before it starts, each micro-batch enters
+its files in the processed table, and what is listed but not processed when the
+stream has drained becomes ``no_header`` rejects, as in the batch job.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from ..config import Settings
-from ..plans.daily import DailyPaths, load_lines, report_failure, report_success
+from ..plans.daily import DailyPaths, DailyResult, append_rejects, load_lines, report_failure, report_success, unprocessed
+from ..plans.joins import materialize
 from ..session import scratch_scope
-from ..sources.statements import FILE_ID, raw_lines, statement_lines, without_header
+from ..sources import archive
+from ..sources.statements import FILE_ID, list_statements, raw_lines, statement_lines, without_header
 
 
 def start_daily_stream(spark: SparkSession, settings: Settings, paths: DailyPaths, checkpoint: str,
-                       max_files_per_trigger: int | None = None, archive_dir: str | None = None):
+                       max_files_per_trigger: int | None = None, archive_dir: str | None = None) -> StreamingQuery:
     """Without ``max_files_per_trigger`` all new files are one batch, as in ``run_daily``.
 
     With it, each micro-batch counts as a run of its own: a row whose key an
@@ -35,10 +43,11 @@ def start_daily_stream(spark: SparkSession, settings: Settings, paths: DailyPath
         session = batch.sparkSession
         with scratch_scope(session):
             try:
-                files = batch.select("file_name", *FILE_ID).distinct()
+                files = materialize(batch.select("file_name", *FILE_ID).distinct(), "files")
                 data, heads = statement_lines(batch, settings)
                 res = load_lines(session, data, without_header(files, heads), settings, paths)
                 res.files = files.count()
+                archive.mark_processed(unprocessed(session, files, paths), paths.processed)
                 report_success(session, res, paths)
             except Exception as e:
                 report_failure(session, e, paths)
@@ -48,3 +57,27 @@ def start_daily_stream(spark: SparkSession, settings: Settings, paths: DailyPath
                  .option("checkpointLocation", checkpoint)
                  .trigger(availableNow=True)
                  .start())
+
+
+def run_daily_stream(spark: SparkSession, settings: Settings, paths: DailyPaths, checkpoint: str,
+                     max_files_per_trigger: int | None = None, archive_dir: str | None = None) -> DailyResult | None:
+    """Drain the inbox and answer for every file listed at the start.
+
+    Returns the report of the files that no micro-batch could read, None when there are
+    none.  After a failure in between, the next run lists what is left over again.
+    """
+    with scratch_scope(spark):
+        listing = materialize(unprocessed(spark, list_statements(spark, paths.inbox, settings.file_glob), paths), "listing")
+        query = start_daily_stream(spark, settings, paths, checkpoint, max_files_per_trigger, archive_dir)
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise query.exception()
+        silent = materialize(unprocessed(spark, listing, paths), "without-lines")
+        n = silent.count()
+        if not n:
+            return None
+        nothing = spark.createDataFrame([], "path string")
+        res = DailyResult("SUCCESS", files=n, rejects=append_rejects(spark, without_header(silent, nothing), paths))
+        archive.mark_processed(silent, paths.processed)
+        report_success(spark, res, paths)
+        return res

@@ -80,7 +80,7 @@ def test_lookup_join_shuffle_branch_matches_broadcast(spark):
     df = parse.modify_salaried_record(parse.capitalize_raw_category(
         parse.apply_raw_category_transformation(parse.clean_raw_category(
             parse.data_preprocessor(rows, DEFAULT), DEFAULT), DEFAULT)), DEFAULT)
-    no_broadcast = dataclasses.replace(DEFAULT, max_broadcast_rows=0)
+    no_broadcast = dataclasses.replace(DEFAULT, max_broadcast_bytes=0)
     a = category.create_subcategory(df, DEFAULT, distinct=True)
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # as for a lookup too big to broadcast
@@ -91,6 +91,29 @@ def test_lookup_join_shuffle_branch_matches_broadcast(spark):
         plan = b._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    assert "BroadcastExchange" not in plan
+    # the lookup is shuffled; what is broadcast is the bounded list of hot values
+    assert "SortMergeJoin" in plan
+    assert all("__hot" in part.split("Filter")[0] for part in plan.split("BroadcastExchange")[1:])
     assert sorted(tuple(r) for r in a.select(cols).collect()) == got_b
     assert len(got_b) == df.count()
+
+
+def test_hot_value_is_spread_over_the_tasks(spark):
+    """Half the rows hold one value and nothing is broadcast by Spark's own choice: no task joins twice the median."""
+    import dataclasses
+    from pyspark.sql import functions as F
+    settings = dataclasses.replace(DEFAULT, max_broadcast_bytes=0)
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = spark.range(0, 40000, 1, 8).selectExpr("id", "if(id % 2 = 0, 'food', if(id % 7 = 0, null, concat('v', id))) AS raw_category")
+        out = category.create_subcategory(df, settings, distinct=True).withColumn("task", F.spark_partition_id())
+        rows = out.select("id", "raw_category", "SubCategory", "task").collect()
+        want = {r.id: r.SubCategory for r in category.create_subcategory(df, DEFAULT, distinct=False).select("id", "SubCategory").collect()}
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+    assert {r.id: r.SubCategory for r in rows} == want and len(rows) == 40000
+    sizes = sorted(__import__("collections").Counter(r.task for r in rows).values())
+    assert len(sizes) == 8 and sizes[-1] <= 2 * sizes[len(sizes) // 2]

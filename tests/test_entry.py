@@ -30,3 +30,12 @@ def test_flagship_matches_oracle_on_smallest_tables(spark):
         idx = sorted(range(len(cols)), key=lambda i: cols[i])
         want = sorted(tuple(str(r[i]) for i in idx) for r in rel.fetchall())
         assert got == want, name
+
+
+def test_entry_goes_on_without_a_library_of_the_optional_part():
+    import os
+    import subprocess
+    import sys
+    code = ("import sys, warnings; sys.modules['xxhash'] = None; warnings.simplefilter('ignore'); import __spark_entry__ as E; "
+            "from tallyspark.plans import catalog; assert set(E.queries()) == set(catalog.QUERIES) and set(E.oracle_sql()) == set(catalog.ORACLE)")
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=os.path.dirname(E.__file__))

@@ -11,8 +11,8 @@ from tallyspark.plans import catalog, synth
 from tallyspark.plans.consolidate import run_consolidate
 from tallyspark.plans.daily import DailyPaths, run_daily
 from tallyspark.session import scratch_path
-from tallyspark.sources import statements
-from tallyspark.streaming.daily import start_daily_stream
+from tallyspark.sources import statements, versions
+from tallyspark.streaming.daily import run_daily_stream, start_daily_stream
 
 SF = "/root/testdata/sf0.001"
 
@@ -64,7 +64,7 @@ def test_daily_then_consolidate(spark, inbox):
     assert again.rows == 0
     master = scratch_path(spark, "master")
     c = run_consolidate(spark, DEFAULT, p.months, master, p.runs)
-    m = spark.read.parquet(master)
+    m = versions.read(spark, master)
     assert m.count() == m.select("uuid").distinct().count() == c.rows_after
     assert c.duplicates_removed == res.rows - c.rows_after
     statuses = [r.status for r in spark.read.parquet(p.runs).collect()]
@@ -230,7 +230,7 @@ def test_consolidation_without_rows_leaves_the_old_master(spark):
     batch.limit(0).withColumn("month", F.lit("2026-01")).write.parquet(f"{empty}/month=2026-01")
     with pytest.raises(ValueError):
         run_consolidate(spark, DEFAULT, empty, master, runs)
-    kept = spark.read.parquet(master)
+    kept = versions.read(spark, master)
     assert kept.count() == done.rows_after > 0
     rows = [(r.date, r.uuid) for r in consolidate.sort_master(kept).collect()]
     assert rows == sorted(rows)                                            # O1
@@ -246,3 +246,88 @@ def test_key_prefix_collision_drops_no_row(spark):
     assert sorted(r.particulars for r in consolidate.deduplicate(df).collect()) == ["a", "b"]
     new, old = spark.createDataFrame([a, b], schema), spark.createDataFrame([a], schema)
     assert [r.particulars for r in load.anti_join(new, old).collect()] == ["b"]
+
+
+def _rejects(spark, p):
+    return sorted((r.file, r.line_no, r.reason) for r in spark.read.parquet(p.rejects).collect())
+
+
+def test_stream_and_batch_answer_for_empty_corrupt_and_short_files(spark, tmp_path):
+    import dataclasses
+    settings = dataclasses.replace(DEFAULT, file_glob="*.{csv,csv.gz}")
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    _write(inbox, "axis_statement.csv", _axis((1, "10.00"), (2, "abc")))
+    _write(inbox, "axis_short.csv", ["only", "two"])
+    _write(inbox, "axis_broken.csv.gz", _axis((9, "1.00")), broken=True)
+    (inbox / "hdfc zero bytes.csv").write_bytes(b"")
+    (inbox / "axis_zero.csv").write_bytes(b"")
+    listed = {r.file_name: (r.size, r.modified) for r in statements.list_statements(spark, str(inbox), settings.file_glob).collect()}
+    assert len(listed) == 5 and listed["axis_zero.csv"][0] == listed["hdfc zero bytes.csv"][0] == 0
+    assert all(abs(m.timestamp() - os.path.getmtime(inbox / n.replace("%20", " "))) < 1 for n, (_, m) in listed.items())
+    batch, stream = paths(spark, str(inbox)), paths(spark, str(inbox))
+    one = run_daily(spark, settings, batch, max_files=10)
+    assert (one.files, one.rows, one.rejects) == (5, 1, 5)
+    settled = run_daily_stream(spark, settings, stream, str(tmp_path / "ckpt"), max_files_per_trigger=1)
+    assert _rejects(spark, stream) == _rejects(spark, batch)
+    assert [r for _, _, r in _rejects(spark, batch)].count("no_header") == 4
+    assert settled.files >= 2                                             # the empty ones are in no micro-batch
+    done = lambda p: sorted(r.file_name for r in spark.read.parquet(p.processed).collect())
+    assert len(done(batch)) == 5 and {x.replace("%20", " ") for x in done(stream)} == {x.replace("%20", " ") for x in done(batch)}
+    # nothing twice, and a later empty file is answered for
+    assert run_daily(spark, settings, batch, max_files=10).rejects == 0
+    assert run_daily_stream(spark, settings, stream, str(tmp_path / "ckpt")) is None
+    (inbox / "axis_later.csv").write_bytes(b"")
+    assert run_daily(spark, settings, batch, max_files=10).rejects == 1
+    assert run_daily_stream(spark, settings, stream, str(tmp_path / "ckpt")).rejects == 1
+    assert _rejects(spark, stream) == _rejects(spark, batch)
+
+
+def test_an_inbox_of_empty_files_and_an_empty_inbox(spark, tmp_path):
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    p = paths(spark, str(inbox))
+    assert run_daily(spark, DEFAULT, p).files == 0
+    (inbox / "axis_zero.csv").write_bytes(b"")
+    res = run_daily(spark, DEFAULT, p)
+    assert (res.files, res.rows, res.rejects) == (1, 0, 1)
+
+
+def test_header_beyond_the_first_split(spark, tmp_path):
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    lines = _axis(*((i, "10.00") for i in range(40)))
+    lines[:17] = ["x" * 3000] * 17
+    _write(inbox, "axis_wide.csv", lines)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        res = run_daily(spark, DEFAULT, paths(spark, str(inbox)))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert (res.rows, res.rejects) == (40, 0)
+
+
+def test_daily_run_stages_its_input_once(spark, inbox, monkeypatch):
+    from tallyspark.plans import joins
+    from tallyspark import session
+    names, real = [], session.scratch_path
+
+    def noted(s, name):
+        names.append(name)
+        return real(s, name)
+    monkeypatch.setattr(joins, "scratch_path", noted)
+    run_daily(spark, DEFAULT, paths(spark, inbox), max_files=1000)
+    # one table of lines; the others have a row a file, a split or a distinct value
+    assert sorted(names) == ["headers", "listing", "lookup", "prepared", "splits"]
+
+
+def test_pivot_columns_add_up(spark):
+    import datetime as dt
+    from decimal import Decimal
+    from tallyspark.operators import report
+    rows = [("a", dt.date(2026, 1, 1), Decimal(5)), ("a", dt.date(1980, 1, 1), Decimal(7)), ("a", None, Decimal(1)), ("b", dt.date(2026, 2, 1), Decimal(2))]
+    df = spark.createDataFrame(rows, "Category string, date date, dr decimal(18,2)")
+    got = {r.Category: r for r in report.month_pivot_view(df, ["2026-01", "2026-02"]).collect()}
+    assert (got["a"]["2026-01"], got["a"]["2026-02"], got["a"]["other"]) == (5, None, 8)
+    assert (got["b"]["2026-02"], got["b"]["other"]) == (2, None)
