@@ -38,10 +38,10 @@ class Bpe:
         self.tokens = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, i in ranks.items():
             self.tokens[i] = token
-        self.fits = lru_cache(1 << 18)(self._fits)
-        self._short_merge, self._short_tree = lru_cache(1 << 17)(self._merge_plain), lru_cache(1 << 17)(self._halve)
-        self.pieces = Generations(self._piece, 1 << 18)
-        self.text_ids = ChunkEncoder(self._pieces)
+        self.fits = lru_cache(1 << 17)(self._fits)
+        self._short_merge, self._short_tree = lru_cache(1 << 16)(self._merge_plain), lru_cache(1 << 16)(self._halve)
+        self.pieces = Generations(self._piece, 1 << 14)
+        self.text_ids = ChunkEncoder(self._pieces, 1 << 17)
 
     # ------------------------------------------------------------- merging
     def merge(self, data: bytes) -> list[int]:
@@ -130,7 +130,12 @@ class Bpe:
         return np.array([whole] if whole is not None else self.encode_piece(data), dtype="<u4").tobytes()
 
     def _pieces(self, text: str) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, self.pattern.findall(text)))
+        """Ids of a text piece by piece; a word after a space is remembered once, as the chunk that it is."""
+        found = self.pattern.findall(text)
+        if len(found) == 1:
+            return self._piece(found[0])                     # the caller remembers chunks
+        words, others = self.text_ids.rest, self.pieces
+        return b"".join([words[p[1:]] if p[0] == " " and p[1:].isalpha() else others[p] for p in found])
 
 
 _LOADED: dict[tuple[str, str], Bpe] = {}
@@ -167,7 +172,11 @@ def encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_
 
 
 def decode(df: DataFrame, path: str, pattern: str, ids_col: str = "ids") -> DataFrame:
-    """``df`` with ``decoded`` (binary): the bytes that the ids stand for; null ids give null."""
+    """``df`` with ``decoded`` (binary): the bytes that the ids stand for; null ids give null.
+
+    A column ``decoded`` of ``df`` is replaced.
+    """
+    df = df.select(*(c for c in df.columns if c != "decoded"))
     names = df.columns
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
 
@@ -183,8 +192,29 @@ def decode(df: DataFrame, path: str, pattern: str, ids_col: str = "ids") -> Data
     return map_rows(df, f"{schema}, decoded binary", make)
 
 
+def encode_decode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, n_tokens, ids, decoded): ``encode`` and ``decode`` of its ids by one Python worker a task, as the two alone would give."""
+    kind = df.schema[id_col].dataType.simpleString()
+
+    def make():
+        bpe = load(path, pattern)
+
+        def step(batch):
+            ids = [bpe.text_ids(t) for t in texts(batch.column(1))]
+            out = [bpe.decode(np.frombuffer(x, dtype="<u4").tolist()) for x in ids]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()),
+                                              pa.array(ids, pa.binary()), pa.array(out, pa.binary())], [id_col, "n_tokens", "ids", "decoded"])
+        return step
+
+    return map_rows(df.select(id_col, text_col), f"`{id_col}` {kind}, n_tokens bigint, ids binary, decoded binary", make)
+
+
 def round_trip(df: DataFrame, path: str, pattern: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every text, encoded and decoded again."""
-    both = decode(encode(df, path, pattern), path, pattern)
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every text, encoded and decoded again.
+
+    A null or empty text has no tokens and the digest of no bytes; repeated rows give a row each, a null id
+    stays null; an empty table gives no rows; a text of any length is taken whole.
+    """
+    both = encode_decode(df, path, pattern)
     return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))

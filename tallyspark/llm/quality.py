@@ -174,6 +174,21 @@ def fit(df: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> tuple[di
     return posterior, train([(r.r.cols, r.r.vals, posterior[r.r.pattern]) for r in found])
 
 
+class Judge:
+    """text -> (label model's posterior, scorer's probability of "good")."""
+
+    def __init__(self, model: tuple[dict[str, float], np.ndarray]):
+        self.posterior, self.weights = model
+        self.features = Features()
+
+    def __call__(self, text: str) -> tuple[float, float]:
+        s = statistics(text)
+        if not s[0]:
+            return self.posterior.get(votes(s), 0.0), 0.0
+        z = self.weights[-1] + sum(self.weights[c] * v for c, v in self.features(text, s).items())
+        return self.posterior.get(votes(s), 0.0), float(1 / (1 + np.exp(-np.clip(z, -50, 50))))
+
+
 def score(df: DataFrame, model: tuple[dict[str, float], np.ndarray], text_col: str = "text",
           label: str = "weak_label", out: str = "quality_score") -> DataFrame:
     """``df`` with the label model's posterior and the scorer's probability of "good" (both 0 to 1).
@@ -184,19 +199,13 @@ def score(df: DataFrame, model: tuple[dict[str, float], np.ndarray], text_col: s
     df = df.select(*(c for c in df.columns if c not in (label, out)))
     names = df.columns
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in df.schema)
-    posterior, w = model
 
     def make():
-        f = Features()
+        judge = Judge(model)
 
         def step(batch):
-            weak, scores = [], []
-            for t in texts(batch.column(names.index(text_col))):
-                s = statistics(t)
-                weak.append(posterior.get(votes(s), 0.0))
-                x = f(t, s)
-                z = w[-1] + sum(w[c] * v for c, v in x.items())
-                scores.append(float(1 / (1 + np.exp(-np.clip(z, -50, 50)))) if s[0] else 0.0)
+            both = [judge(t) for t in texts(batch.column(names.index(text_col)))]
+            weak, scores = [a for a, _ in both], [b for _, b in both]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(weak, pa.float64()), pa.array(scores, pa.float64())],
                                              [*names, label, out])
         return step
@@ -205,13 +214,33 @@ def score(df: DataFrame, model: tuple[dict[str, float], np.ndarray], text_col: s
 
 
 def classify(df: DataFrame, sample: int = SAMPLE, threshold: float = .5) -> DataFrame:
-    """doc_id, weak_label, quality_score, keep: fitted on, and applied to, all rows of ``df``."""
+    """doc_id, weak_label, quality_score, keep: fitted on, and applied to, all rows of ``df``.
+
+    A null or empty text scores 0 and is not kept; repeated rows and null ids give a row each; an empty table
+    gives no rows; texts of any length are looked at whole; other columns are left out.
+    """
     rows = df.select("doc_id", "text")
     return (score(rows, fit(rows, sample=sample)).select("doc_id", "weak_label", "quality_score")
             .withColumn("keep", F.col("quality_score") >= threshold))
 
 
 def keep_good(df: DataFrame, sample: int = SAMPLE, threshold: float = .5) -> DataFrame:
-    """The rows of ``df``, every column, that score ``threshold`` or more.  Empty texts go."""
-    found = score(df, fit(df, sample=sample), label="__weak_label", out="__quality_score")
-    return found.filter(F.col("__quality_score") >= threshold).select(*df.columns)
+    """The rows of ``df``, every column, that score ``threshold`` or more.
+
+    Null and empty texts go.  Rows that fail are left out where they are scored, so
+    only kept rows travel back; repeated rows are judged alike; columns of any
+    name come through; an empty table stays empty.
+    """
+    names = df.columns
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    model = fit(df, sample=sample)
+
+    def make():
+        judge = Judge(model)
+
+        def step(batch):
+            good = [judge(t)[1] >= threshold for t in texts(batch.column(names.index("text")))]
+            yield batch.filter(pa.array(good, pa.bool_()))
+        return step
+
+    return map_rows(df, schema, make)
