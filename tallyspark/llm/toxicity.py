@@ -83,6 +83,8 @@ LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb",
 SWAP, REPEAT, SKIP, SKIP_LEET = 0.7, 0.2, 1.2, 8.0
 _TRIPLE = re.compile(r"(.)\1\1")
 _APART = re.compile(r"(?<!\S)\S(?:[ ]\S){3,}(?!\S)")
+#: What every such run holds, looked for first.
+_APART_HINT = re.compile(r" \S \S \S")
 
 
 class Restorer:
@@ -138,7 +140,7 @@ class Restorer:
     def words(self, text: str, memory: dict[str, str]) -> set[str]:
         """The distinct restored words of a text, letters written apart put together."""
         out = set(map(memory.__getitem__, set(text.split())))
-        for m in _APART.finditer(text):
+        for m in _APART.finditer(text) if _APART_HINT.search(text) else ():
             run = m.group().replace(" ", "")
             if any(map(str.isalpha, run)):
                 # a neighbouring word of one letter may belong to the run: words begin anywhere in it
@@ -178,8 +180,8 @@ def feature_counts(df: DataFrame, costs: np.ndarray) -> tuple[np.ndarray, np.nda
     def make():
         restore = Restorer(costs)
         memory = Generations(restore, 1 << 17)
-        cached = Generations(lambda w: np.array(features(w), np.uint64), 1 << 17)
-        counts = np.zeros(2 * size, np.int64)
+        cached = Generations(lambda w: np.array(features(w), np.uint64).tobytes(), 1 << 17)
+        counts, last = np.zeros(2 * size, np.int64), np.zeros(size, np.int32)
         total = np.zeros(2, np.int64)
 
         def step(batch):
@@ -187,9 +189,10 @@ def feature_counts(df: DataFrame, costs: np.ndarray) -> tuple[np.ndarray, np.nda
                 total[label] += 1
                 words = restore.words(t, memory)
                 if words:
-                    held = _buckets(np.unique(np.concatenate([cached[w] for w in words])))
-                    for row in held:  # a document counts once for a bucket
-                        counts[np.unique(row) + label * size] += 1
+                    held = _buckets(np.frombuffer(b"".join([cached[w] for w in words]), np.uint64)).ravel()
+                    place = np.arange(len(held), dtype=np.int32)
+                    last[held] = place                       # of the places of a bucket one stays:
+                    counts[held[last[held] == place] + label * size] += 1  # a document counts once for a bucket
             return ()
 
         def close():
@@ -216,31 +219,48 @@ class Weigher:
     """
 
     def __init__(self, counts: np.ndarray, total: np.ndarray):
-        self.clean, self.toxic = ([memoryview(t) for t in np.ascontiguousarray(side.reshape(ROWS, -1))] for side in counts)
+        self.clean, self.toxic = counts
         self.n_clean, self.n_toxic = total.tolist()
 
-    def weight(self, clean: int, toxic: int) -> float:
-        if not toxic:
-            return 0.0
+    def weight(self, clean: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+        """Weights of features by their documents of either label (``toxic`` above 0)."""
         share = self.n_toxic / (self.n_clean + self.n_toxic)
-        g = toxic * math.log(toxic / ((clean + toxic) * share))
-        if clean:
-            g += clean * math.log(clean / ((clean + toxic) * (1 - share)))
-        odds = math.log((toxic + .5) / (self.n_toxic + 1)) - math.log((clean + .5) / (self.n_clean + 1))
-        if 2 * g > BEYOND and odds > ODDS:
-            return odds
-        if 2 * g > LIKELY and odds > LIKELY_ODDS:
-            return max(0.0, math.log((toxic + PRIOR * share) / share) - math.log((clean + PRIOR * (1 - share)) / (1 - share)) - LESS)
-        return 0.0
+        both = clean + toxic
+        g = toxic * np.log(toxic / (both * share)) + clean * np.log(np.maximum(clean, 1) / (both * (1 - share)))
+        odds = np.log((toxic + .5) / (self.n_toxic + 1)) - np.log((clean + .5) / (self.n_clean + 1))
+        shrunk = np.log((toxic + PRIOR * share) / share) - np.log((clean + PRIOR * (1 - share)) / (1 - share)) - LESS
+        likely = np.where((2 * g > LIKELY) & (odds > LIKELY_ODDS), np.maximum(shrunk, 0), 0)
+        return np.where((2 * g > BEYOND) & (odds > ODDS), odds, likely)
+
+    def weights(self, words: list[str]) -> list[float]:
+        """The weight of each word; all words' features are looked up together."""
+        best = np.zeros(len(words))
+        if words and self.n_clean and self.n_toxic:
+            found = [features(w) for w in words]
+            owner = np.repeat(np.arange(len(words)), [len(f) for f in found])
+            at = _buckets(np.array([h for f in found for h in f], np.uint64))
+            toxic = self.toxic[at].min(axis=0)
+            some = np.flatnonzero(toxic)                     # most features are in no toxic document
+            np.maximum.at(best, owner[some], self.weight(self.clean[at[:, some]].min(axis=0).astype(float), toxic[some].astype(float)))
+        return best.tolist()
 
     def __call__(self, word: str) -> float:
-        if not self.n_clean or not self.n_toxic:
-            return 0.0
-        best, mask = 0.0, (1 << BITS) - 1
-        for h in features(word):
-            at = [(h >> (BITS * r)) & mask for r in range(ROWS)]
-            best = max(best, self.weight(min(t[i] for t, i in zip(self.clean, at)), min(t[i] for t, i in zip(self.toxic, at))))
-        return best
+        return self.weights([word])[0]
+
+
+class WordWeights(dict):
+    """word -> weight, remembered; new words are weighed a batch at a time, and the memory starts anew when it is full."""
+
+    def __init__(self, weigh: Weigher, size: int = 1 << 18):
+        self.weigh, self.size = weigh, size
+
+    def sums(self, texts_words: list[set[str]]) -> list[float]:
+        """The summed weights of each set of words."""
+        if len(self) >= self.size:
+            self.clear()
+        new = [w for w in set().union(*texts_words) if w not in self]
+        self.update(zip(new, self.weigh.weights(new)))
+        return [math.fsum(map(self.__getitem__, words)) for words in texts_words]
 
 
 #: Sums of weights are counted by quarter steps up to this bin.
@@ -255,11 +275,11 @@ def raw_scores(df: DataFrame, costs: np.ndarray, counts: np.ndarray, total: np.n
     def make():
         restore = Restorer(costs)
         memory = Generations(restore, 1 << 17)
-
-        known = Generations(Weigher(counts, total), 1 << 17)
+        known = WordWeights(Weigher(counts, total))
 
         def step(batch):
-            bins = [min(TOP_BIN, int(4 * sum(map(known.__getitem__, restore.words(t, memory))))) for t in texts(batch.column(1))]
+            sums = known.sums([restore.words(t, memory) for t in texts(batch.column(1))])
+            bins = [min(TOP_BIN, int(4 * x)) for x in sums]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bins, pa.int32())], ["doc_id", "bin"])
         return step
 
