@@ -229,3 +229,22 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", label_col: str = "lab
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
                       component.alias("component_id"),
                       F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))
+
+
+#: DuckDB SQL for the registered query: all pairs of a label, then everything reachable.
+SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+u AS (SELECT *, sqrt(list_inner_product(x, x)) AS size FROM v WHERE list_inner_product(x, x) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.label = b.label AND len(a.x) = len(b.x) AND a.vec_id <> b.vec_id
+  WHERE list_inner_product(a.x, b.x) / (a.size * b.size) >= 0.98),
+reach(node, other) AS (
+  SELECT a, b FROM links UNION SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.other),
+least_of AS (SELECT node, min(other) AS low FROM reach GROUP BY node),
+counted AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(n, 0) AS n_links, least(e.vec_id, coalesce(low, e.vec_id)) AS component_id,
+       least(e.vec_id, coalesce(low, e.vec_id)) = e.vec_id AS kept
+FROM embeddings e LEFT JOIN least_of l ON l.node = e.vec_id LEFT JOIN counted c ON c.a = e.vec_id"""

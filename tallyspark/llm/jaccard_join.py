@@ -14,9 +14,9 @@ Equal sets are folded into their smallest id first.  Then:
   sets per size and the mean list length that the bucket counts give.
 
 Links are wanted as components, so the scan verifies exactly, on whole texts,
-first in a few rounds one candidate per set (the head of a list that it shares
-most lists with), and then every candidate pair that is still in different
-components.  A pair is given up only if the shared lists prove that it cannot
+first one candidate per set (the head of a list that it shares most lists with),
+then in rounds one pair per component (the one that shares most lists with another
+one), and at last every candidate pair that is still in different components.  A pair is given up only if the shared lists prove that it cannot
 reach 3/4: of two sets, all common shingles among the first ones of the set whose
 first ones end earlier are seen, so the others of these are missing from the
 other set.  The bound is taken with the open lists that two sets can share by
@@ -181,9 +181,14 @@ def _signatures(reps: DataFrame, classes: np.ndarray, boundary: int) -> DataFram
 
 
 class _Shared:
-    """Streams rows sorted by key and lets through those whose key has two rows or more, with the key's first row."""
+    """Streams rows sorted by key and size and lets through those whose list has two rows or more, with the list's first row.
 
-    NAMES = ["key", "rep", "n", "last", "head", "head_n"]
+    Sets of a key that are too different in size cannot link: where the next size is
+    beyond 4/3 of the last one, another list begins, under a key of its own.  Sets that
+    can link have no such step between them.
+    """
+
+    NAMES = ["key", "rep", "n", "last", "head", "head_n", "head_last"]
 
     def __init__(self):
         self.held = None  # the last row seen, its key's first row, and whether its key had a row before it
@@ -196,31 +201,32 @@ class _Shared:
         if self.held is not None:
             row, head, before = self.held
             key, rep, n, last = (np.concatenate([[v], c]) for v, c in zip(row, (key, rep, n, last)))
-        start = np.concatenate([[True], key[1:] != key[:-1]])
+        start = np.concatenate([[True], (key[1:] != key[:-1]) | (4 * n[:-1] < 3 * n[1:])])
         first = np.maximum.accumulate(np.where(start, np.arange(len(key)), 0))
-        heads, heads_n = rep[first], n[first]
+        heads = [rep[first], n[first], last[first]]
         if before:
             own = first == 0
-            heads, heads_n = np.where(own, head[0], heads), np.where(own, head[1], heads_n)
+            heads = [np.where(own, h, c) for h, c in zip(head, heads)]
         prev = ~start
         prev[0] = before
-        self.held = ((key[-1], rep[-1], n[-1], last[-1]), (heads[-1], heads_n[-1]), bool(prev[-1]))
+        self.held = ((key[-1], rep[-1], n[-1], last[-1]), tuple(c[-1] for c in heads), bool(prev[-1]))
         more = np.concatenate([~start[1:], [False]])
         keep = (prev | more)[:-1]
-        yield self._rows(*(c[:-1][keep] for c in (key, rep, n, last, heads, heads_n)))
+        yield self._rows(*(c[:-1][keep] for c in (key, rep, n, last, *heads)))
 
     def close(self):
         if self.held is not None and self.held[2]:
             row, head, _ = self.held
             yield self._rows(*(np.array([v]) for v in (*row, *head)))
 
-    def _rows(self, *cols):
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], self.NAMES)
+    def _rows(self, key, rep, n, last, head, head_n, head_last):
+        own = signed(mix64(key.view(np.uint64) + np.uint64(0x9E3779B97F4A7C15) * head_n.astype(np.uint64)))
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (own, rep, n, last, head, head_n, head_last)], self.NAMES)
 
 
 def _lists(rows: DataFrame) -> DataFrame:
-    # the head of a list is the set with the least hash: the same one for most lists of a family
-    ordered = rows.select("key", "rep", "n", "last").repartition("key").sortWithinPartitions("key", F.xxhash64("rep"), "rep")
+    # the head of a list is its smallest set, of several the one with the least hash: the same one for most lists of a family
+    ordered = rows.select("key", "rep", "n", "last").repartition("key").sortWithinPartitions("key", "n", F.xxhash64("rep"), "rep")
     return map_rows(ordered, ", ".join(f"{c} bigint" for c in _Shared.NAMES), _Shared, 1 << 16)
 
 
@@ -240,8 +246,8 @@ def _small_links(rows: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ checking
-def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Those of the pairs (a, b) whose texts' sets link, by exact comparison of whole sets."""
+def verified(pairs: DataFrame, docs: DataFrame) -> tuple[DataFrame, int, int]:
+    """Those of the pairs (a, b) whose texts' sets link, by exact comparison of whole sets; how many pairs there were and are."""
     pairs = stage(pairs.select("a", "b"), "jaccard-pairs")
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
     ids = stage(ids, "jaccard-pair-ids")
@@ -269,11 +275,15 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"])
         return step
 
-    return stage(map_rows(both.select("a", "b", "ta", "tb"), "a bigint, b bigint", make, 128).distinct(), "jaccard-links")
+    links = stage(map_rows(both.select("a", "b", "ta", "tb"), "a bigint, b bigint", make, 128).distinct(), "jaccard-links")
+    return links, pairs.count(), links.count()
 
 
-#: Rounds of linking sets to the head of an open list before all open pairs are looked at.
-STAR_ROUNDS = 2
+#: Rounds, at most, that try a few pairs for each component before all open pairs are looked at: one in the first, then
+#: TRIES; after two, another round is made while a quarter of the last one's pairs linked, so that it pays.
+ROUNDS, TRIES = 8, 16
+#: Rows of lists with one head that go to one task together.
+FAMILY_ROWS = 1 << 19
 #: 64-bit words of the bitmap of a set's open lists.
 MAP_WORDS = 8
 
@@ -299,14 +309,20 @@ def _least_shared(na, nb, la, lb):
 
 
 class _Pairs:
-    """Joins the rows of whole lists (or pairs of blocks of one), sorted by list: pairs of different components that can link."""
+    """Joins the rows of whole lists (or pairs of blocks of one), sorted by list: pairs of different components that can link.
+
+    All of them (a, b), or with ``best`` for each component as many pairs (comp, score, a, b), those that share
+    most lists for their size with a set of another one.
+    """
 
-    NAMES = ["a", "b"]
     BATCH = 1 << 16
 
-    def __init__(self):
+    def __init__(self, best: int = 0):
+        self.best, self.names = best, ["comp", "score", "a", "b"] if best else ["a", "b"]
         self.rows: list[np.ndarray] = []
         self.size = 0
+        self.held: list[np.ndarray] = []
+        self.count = 0
 
     def __call__(self, batch: pa.RecordBatch):
         self.rows.append(np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]))
@@ -321,12 +337,14 @@ class _Pairs:
     def close(self):
         if self.rows:
             yield from self._join(np.concatenate(self.rows, axis=1))
+        if self.held:
+            yield self._emit(self._distinct())
 
     def _join(self, rows: np.ndarray):
         key, i, j, side, rep, n, last, comp, open_, rank, *bits = rows
         bits = np.stack(bits).view(np.uint64)
         hidden = open_ - np.bitwise_count(bits).sum(0, dtype=np.int64)  # lists that share a bit with another of the set
-        held, size, at, step = [], 0, np.arange(len(key)), 0
+        at, step = np.arange(len(key)), 0
         while True:
             step += 1
             at = at[at + step < len(key)]
@@ -343,62 +361,78 @@ class _Pairs:
             least = _least_shared(n[x], n[y], last[x], last[y])
             ok = ((most >= least) & (4 * np.minimum(n[x], n[y]) >= 3 * np.maximum(n[x], n[y]))
                   & (rank[x] <= open_[x] - least + 1) & (rank[y] <= open_[y] - least + 1))
-            x, y = rep[x[ok]], rep[y[ok]]
-            held.append(np.stack([np.minimum(x, y), np.maximum(x, y)]))
-            size += len(x)
-            if size >= 1 << 18:
-                yield self._distinct(held)
-                held, size = [], 0
-        if size:
-            yield self._distinct(held)
-
-    def _distinct(self, held):
-        rows = np.unique(np.concatenate(held, axis=1), axis=1)
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in rows], self.NAMES)
+            x, y = x[ok], y[ok]
+            if self.best:
+                score = 4096 * both[ok] // np.maximum(n[x], n[y])
+                self.held += [np.stack([comp[p], score, rep[x], rep[y]]) for p in (x, y)]
+            else:
+                self.held.append(np.stack([np.minimum(rep[x], rep[y]), np.maximum(rep[x], rep[y])]))
+            self.count += len(x)
+            if self.count >= 1 << 18:
+                # a pair turns up in many lists of one family, which follow each other: most are copies
+                pairs = self._distinct()
+                self.held, self.count = [pairs], pairs.shape[1]
+                if self.count >= 1 << 17:
+                    yield self._emit(pairs)
+                    self.held, self.count = [], 0
+
+    def _distinct(self) -> np.ndarray:
+        pairs = np.concatenate(self.held, axis=1)
+        if self.best:
+            pairs = pairs[:, np.lexsort((pairs[3], pairs[2], -pairs[1], pairs[0]))]
+            pairs = pairs[:, np.concatenate([[True], (pairs[:, 1:] != pairs[:, :-1]).any(0)])] if pairs.shape[1] else pairs
+            nth = np.arange(pairs.shape[1]) - np.searchsorted(pairs[0], pairs[0])
+            return pairs[:, nth < self.best]
+        pairs = pairs[:, np.lexsort(pairs[::-1])]
+        return pairs[:, np.concatenate([[True], (pairs[:, 1:] != pairs[:, :-1]).any(0)])] if pairs.shape[1] else pairs
+
+    def _emit(self, pairs: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in pairs], self.names)
 
 
 def _open_lists(lists: DataFrame, comps: DataFrame) -> DataFrame:
-    """(key, rep, n, last, comp, rows, open, rank, bitmap words) of the lists that hold two components or more.
-
-    ``rows`` is the list's length, ``open`` the number of open lists that hold the
-    set, ``rank`` the list's place among these, short lists first.  No pair across
-    components shares more lists than ``open``, or than its bitmaps allow.
-    """
+    """(key, rep, n, last, head, comp, rows) of the lists that hold two components or more; ``rows`` is the list's length."""
     comps = sized(comps.withColumnRenamed("node", "rep"), 32)
-    rows = (lists.select("key", "rep", "n", "last").join(comps, "rep", "left")
-                 .select("key", "rep", "n", "last", F.coalesce("component", "rep").alias("comp")))
+    rows = (lists.select("key", "rep", "n", "last", "head").join(comps, "rep", "left")
+                 .select("key", "rep", "n", "last", "head", F.coalesce("component", "rep").alias("comp")))
     keys = (rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("rows"))
                 .filter("lo < hi").select("key", "rows"))
-    rows = stage(rows.join(sized(stage(keys, "jaccard-open-keys"), 32), "key"), "jaccard-open")
+    return rows.join(sized(stage(keys, "jaccard-open-keys"), 32), "key")
+
+
+def _with_maps(rows: DataFrame) -> DataFrame:
+    """Open rows with ``open`` (open lists that hold the set), ``rank`` (the list's place among these, short lists first) and bitmap words.
+
+    No pair across components shares more lists than ``open``, or than its bitmaps allow.
+    """
     bit = F.pmod(F.xxhash64("key"), F.lit(64 * MAP_WORDS))
-    words = [F.bit_or(F.when(F.floor(bit / 64) == w, F.expr(f"shiftleft(1L, cast(pmod(xxhash64(key), 64) as int))"))
+    words = [F.bit_or(F.when(F.floor(bit / 64) == w, F.expr("shiftleft(1L, cast(pmod(xxhash64(key), 64) as int))"))
                       .otherwise(F.lit(0).cast("bigint"))).alias(f"m{w}") for w in range(MAP_WORDS)]
     per_set = rows.groupBy("rep", "n").agg(F.count(F.lit(1)).alias("open"), *words)
     order = Window.partitionBy("rep", "n").orderBy("rows", "key")  # a set's lists: no more than its shingles
     return rows.withColumn("rank", F.row_number().over(order).cast("bigint")).join(per_set, ["rep", "n"])
 
 
-def _open_stars(rows: DataFrame, turn: int) -> DataFrame:
-    """(a, b): for each set the list head of another component that it shares most open lists with."""
-    order = F.xxhash64(F.lit(turn), "rep")
-    head = F.min(F.struct(order.alias("h"), "rep", "n", "last", "comp", "open"))
-    heads = rows.groupBy("key").agg(head.alias("head"))
-    both = rows.join(heads, "key").filter("comp != head.comp")
-    both = both.filter(_can_link(*(F.col(c) for c in ("n", "head.n", "last", "head.last", "open", "head.open"))))
-    return (both.groupBy("rep", F.col("head.rep").alias("a")).count()
-                .groupBy("rep").agg(F.max(F.struct("count", "a")).alias("best"))
-                .select(F.col("best.a").alias("a"), F.col("rep").alias("b")))
+def _open_pairs(rows: DataFrame, best: int = 0) -> DataFrame:
+    """All candidate pairs (a, b) of different components that the shared lists cannot rule out; with ``best`` so many for each component.
 
-
-def _open_pairs(rows: DataFrame) -> DataFrame:
-    """All candidate pairs of different components that the shared lists cannot rule out."""
+    Lists with one head, a family's, are worked on by one task one after the other, up to FAMILY_ROWS rows, so that the
+    pairs that come up in many of them are made once.
+    """
+    families = rows.groupBy("head").agg(F.ceil(F.count(F.lit(1)) / FAMILY_ROWS).alias("parts"))
     blocks = F.ceil(F.col("rows") / LIST_BLOCK)
+    rows = rows.join(sized(stage(families, "jaccard-families"), 32), "head").withColumn("part", F.pmod(F.xxhash64("key"), "parts"))
     rows = rows.select("*", blocks.alias("blocks"), F.pmod(F.xxhash64("rep"), blocks).alias("side"))
     rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    rows = (rows.select("key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "rep", "n", "last", "comp",
-                        "open", "rank", *(f"m{w}" for w in range(MAP_WORDS)))
-                .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j"))
-    return map_rows(rows, ", ".join(f"{c} bigint" for c in _Pairs.NAMES), _Pairs, 1 << 14).distinct()
+    rows = (rows.withColumns({"i": F.least("side", "other"), "j": F.greatest("side", "other")})
+                .repartition("head", "part", "i", "j").sortWithinPartitions("head", "part", "key", "i", "j")
+                .select("key", "i", "j", "side", "rep", "n", "last", "comp", "open", "rank", *(f"m{w}" for w in range(MAP_WORDS))))
+    pairs = map_rows(rows, ", ".join(f"{c} bigint" for c in _Pairs(best).names), lambda: _Pairs(best), 1 << 14)
+    if best:
+        pairs = pairs.select("comp", "score", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        order = Window.partitionBy("comp").orderBy(F.desc("score"), "a", "b")
+        pairs = pairs.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= best).select("a", "b")
+    return pairs.distinct()
 
 
 # ------------------------------------------------------------------ operator
@@ -434,21 +468,24 @@ def components_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     if boundary:
         edges = edges.unionByName(_small_links(rows.filter("kind > 0")))
 
-    stars = (lists.filter("rep != head and 4 * least(n, head_n) >= 3 * greatest(n, head_n)").groupBy("rep", "head").count()
+    # the count of lists that a set shares with a head leaves out common lists with another head: a guess, the last turn is exact
+    stars = (lists.filter("rep != head").groupBy("rep", "n", "last", "head", "head_n", "head_last").count()
+                  .filter(_can_link(*(F.col(c) for c in ("n", "head_n", "last", "head_last", "count", "count"))))
                   .groupBy("rep").agg(F.max(F.struct("count", F.col("head").alias("a"))).alias("best"))
                   .select(F.col("best.a").alias("a"), F.col("rep").alias("b")))
-    edges = stage(edges.unionByName(verified(stars, docs)), "jaccard-first-links")
+    found, tried, linked = verified(stars, docs)
+    edges = stage(edges.unionByName(found), "jaccard-first-links")
     comps = stage(components(edges, "a", "b"), "jaccard-components")
     as_edges = lambda c: c.select(F.col("node").alias("a"), F.col("component").alias("b"))  # noqa: E731  stand for all links so far
-    for turn in range(STAR_ROUNDS + 1):
+    for turn in range(ROUNDS + 1):
         rows = lists = stage(_open_lists(lists, comps), "jaccard-open-sets")  # a list once closed stays closed
-        # the last turn looks at all open pairs, the others thin them out
-        pairs = stage(_open_stars(rows, turn) if turn < STAR_ROUNDS else _open_pairs(rows), "jaccard-candidates")
-        if turn < STAR_ROUNDS and pairs.isEmpty():
-            continue
-        found = verified(pairs, docs)
-        if not found.isEmpty():
+        # the last turn looks at all open pairs; those before it join components, most of whose pairs need no look then
+        last = turn == ROUNDS or turn > 1 and 4 * linked < tried
+        found, tried, linked = verified(_open_pairs(_with_maps(rows), 0 if last else TRIES if turn else 1), docs)
+        if linked:
             comps = stage(components(as_edges(comps).unionByName(found), "a", "b"), "jaccard-components")
+        if last:
+            break
 
     by_group = (groups.join(comps.withColumnRenamed("node", "rep"), "rep", "left")
                       .select("digest", F.coalesce("component", "rep").alias("component_id")))
@@ -474,3 +511,23 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     once = (left.join(again, id_col, "left_semi")
                 .groupBy(id_col).agg(F.min_by(F.struct(*df.columns), F.coalesce(text_col, F.lit(""))).alias("row")).select("row.*"))
     return left.join(again, id_col, "left_anti").unionByName(once)
+
+
+#: DuckDB SQL for the registered query: sets that share a shingle, then everything reachable.
+SQL = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1),
+         lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM worded),
+rows_ AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, count(*) AS both_
+  FROM rows_ a JOIN rows_ b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM shared WHERE 100 * both_ >= 75 * (na + nb - both_)),
+reach(node, other) AS (
+  SELECT a, b FROM links UNION SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.other),
+least_of AS (SELECT node, min(other) AS low FROM reach GROUP BY node)
+SELECT s.doc_id, len(s.s) AS n_shingles, least(s.doc_id, coalesce(low, s.doc_id)) AS component_id
+FROM sets s LEFT JOIN least_of l ON l.node = s.doc_id"""

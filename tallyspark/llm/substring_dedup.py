@@ -321,3 +321,21 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window:
 def digest(df: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed and the digest of what is kept."""
     return dedup(df).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: DuckDB SQL for the registered query: every window of 50 words by its digest.
+SQL = r"""
+WITH worded AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM worded WHERE len(w) >= 50)),
+first_of AS (SELECT h, min(doc_id) AS d FROM windows GROUP BY h),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM windows JOIN first_of USING (h) WHERE d < doc_id),
+every AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM worded),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text_, count(*) AS n FROM every e
+  WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.doc_id = e.doc_id AND g.i = e.i) GROUP BY doc_id)
+SELECT d.doc_id, len(d.w) AS n_words, len(d.w) - coalesce(n, 0) AS n_removed, sha256(coalesce(text_, '')) AS kept_sha256
+FROM worded d LEFT JOIN kept USING (doc_id)"""
