@@ -10,6 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
+from ..sources.paths import delete
 
 #: A table is broadcast only when its counted rows stay within this many bytes.
 BROADCAST_BYTES = 32 << 20
@@ -26,7 +27,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more: what was made from them is staged itself."""
+    for t in tables:
+        delete(t.sparkSession, t._scratch)
 
 
 def sized(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:

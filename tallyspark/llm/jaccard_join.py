@@ -35,7 +35,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import (WordHash, count_blocks, map_rows, mix64, ngram_hashes, signed, sized, stage, summed_counts, texts)
+from .common import (WordHash, count_blocks, discard, map_rows, mix64, ngram_hashes, signed, sized, stage, summed_counts,
+                     texts)
 from .graph import components
 
 WORDS = 5
@@ -181,27 +182,30 @@ def _signatures(reps: DataFrame, classes: np.ndarray, boundary: int) -> DataFram
 
 
 class _Shared:
-    """Streams rows sorted by key and size and lets through those whose list has two rows or more, with the list's first row.
+    """Streams rows sorted by key, kind and size and lets through those whose list has two rows or more, with the list's first row.
+
+    A subset's list (kinds 1 and 2) is that of its whole hash, the key and ``last``.
 
     Sets of a key that are too different in size cannot link: where the next size is
     beyond 4/3 of the last one, another list begins, under a key of its own.  Sets that
     can link have no such step between them.
     """
 
-    NAMES = ["key", "rep", "n", "last", "head", "head_n", "head_last"]
+    NAMES = ["kind", "key", "rep", "n", "last", "head", "head_n", "head_last"]
 
     def __init__(self):
         self.held = None  # the last row seen, its key's first row, and whether its key had a row before it
 
     def __call__(self, batch: pa.RecordBatch):
-        key, rep, n, last = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+        kind, key, rep, n, last = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
         if not len(key):
             return
         before = False
         if self.held is not None:
             row, head, before = self.held
-            key, rep, n, last = (np.concatenate([[v], c]) for v, c in zip(row, (key, rep, n, last)))
-        start = np.concatenate([[True], (key[1:] != key[:-1]) | (4 * n[:-1] < 3 * n[1:])])
+            kind, key, rep, n, last = (np.concatenate([[v], c]) for v, c in zip(row, (kind, key, rep, n, last)))
+        step = np.where(kind[1:] == 0, 4 * n[:-1] < 3 * n[1:], last[1:] != last[:-1])
+        start = np.concatenate([[True], (key[1:] != key[:-1]) | (kind[1:] != kind[:-1]) | step])
         first = np.maximum.accumulate(np.where(start, np.arange(len(key)), 0))
         heads = [rep[first], n[first], last[first]]
         if before:
@@ -209,24 +213,27 @@ class _Shared:
             heads = [np.where(own, h, c) for h, c in zip(head, heads)]
         prev = ~start
         prev[0] = before
-        self.held = ((key[-1], rep[-1], n[-1], last[-1]), tuple(c[-1] for c in heads), bool(prev[-1]))
+        self.held = ((kind[-1], key[-1], rep[-1], n[-1], last[-1]), tuple(c[-1] for c in heads), bool(prev[-1]))
         more = np.concatenate([~start[1:], [False]])
         keep = (prev | more)[:-1]
-        yield self._rows(*(c[:-1][keep] for c in (key, rep, n, last, *heads)))
+        yield self._rows(*(c[:-1][keep] for c in (kind, key, rep, n, last, *heads)))
 
     def close(self):
         if self.held is not None and self.held[2]:
             row, head, _ = self.held
             yield self._rows(*(np.array([v]) for v in (*row, *head)))
 
-    def _rows(self, key, rep, n, last, head, head_n, head_last):
-        own = signed(mix64(key.view(np.uint64) + np.uint64(0x9E3779B97F4A7C15) * head_n.astype(np.uint64)))
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (own, rep, n, last, head, head_n, head_last)], self.NAMES)
+    def _rows(self, kind, key, *others):
+        own = signed(mix64(key.view(np.uint64) + np.uint64(0x9E3779B97F4A7C15) * others[4].astype(np.uint64)))
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (kind, np.where(kind == 0, own, key), *others)], self.NAMES)
 
 
 def _lists(rows: DataFrame) -> DataFrame:
+    """The rows of lists and of subsets that two sets or more hold; all kinds go through one shuffle, nothing is written before it."""
     # the head of a list is its smallest set, of several the one with the least hash: the same one for most lists of a family
-    ordered = rows.select("key", "rep", "n", "last").repartition("key").sortWithinPartitions("key", "n", F.xxhash64("rep"), "rep")
+    whole = F.when(F.col("kind") > 0, F.col("last"))
+    ordered = (rows.select(F.col("kind").cast("bigint").alias("kind"), "key", "rep", "n", "last").repartition("key")
+                   .sortWithinPartitions("key", "kind", whole, "n", F.xxhash64("rep"), "rep"))
     return map_rows(ordered, ", ".join(f"{c} bigint" for c in _Shared.NAMES), _Shared, 1 << 16)
 
 
@@ -276,7 +283,9 @@ def verified(pairs: DataFrame, docs: DataFrame) -> tuple[DataFrame, int, int]:
         return step
 
     links = stage(map_rows(both.select("a", "b", "ta", "tb"), "a bigint, b bigint", make, 128).distinct(), "jaccard-links")
-    return links, pairs.count(), links.count()
+    tried = pairs.count()
+    discard(pairs, ids, found)
+    return links, tried, links.count()
 
 
 #: Rounds, at most, that try a few pairs for each component before all open pairs are looked at: one in the first, then
@@ -390,14 +399,22 @@ class _Pairs:
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in pairs], self.names)
 
 
-def _open_lists(lists: DataFrame, comps: DataFrame) -> DataFrame:
-    """(key, rep, n, last, head, comp, rows) of the lists that hold two components or more; ``rows`` is the list's length."""
+def _with_components(lists: DataFrame, comps: DataFrame) -> DataFrame:
     comps = sized(comps.withColumnRenamed("node", "rep"), 32)
-    rows = (lists.select("key", "rep", "n", "last", "head").join(comps, "rep", "left")
+    return (lists.select("key", "rep", "n", "last", "head").join(comps, "rep", "left")
                  .select("key", "rep", "n", "last", "head", F.coalesce("component", "rep").alias("comp")))
-    keys = (rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("rows"))
-                .filter("lo < hi").select("key", "rows"))
-    return rows.join(sized(stage(keys, "jaccard-open-keys"), 32), "key")
+
+
+def _open_keys(lists: DataFrame, comps: DataFrame) -> DataFrame:
+    """(key, rows) of the lists that hold two components or more; ``rows`` is the list's length."""
+    return (_with_components(lists, comps).groupBy("key")
+            .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("rows"))
+            .filter("lo < hi").select("key", "rows"))
+
+
+def _open_lists(lists: DataFrame, comps: DataFrame, keys: DataFrame) -> DataFrame:
+    """(key, rep, n, last, head, comp, rows) of the lists named by ``keys``."""
+    return _with_components(lists, comps).join(sized(keys, 32), "key")
 
 
 def _with_maps(rows: DataFrame) -> DataFrame:
@@ -459,14 +476,12 @@ def components_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     others = copies.select("doc_id").distinct().join(groups, F.col("doc_id") == F.col("rep"), "left_anti")
     docs = docs.filter("doc_id is not null")
     reps = docs.join(sized(stage(others, "jaccard-others"), 16), "doc_id", "left_anti")
-    rows = _signatures(reps, _classes(counts), boundary)
-    if boundary:
-        rows = stage(rows, "jaccard-signatures")
-    lists = stage(_lists(rows.filter("kind = 0")), "jaccard-lists")
+    shared = stage(_lists(_signatures(reps, _classes(counts), boundary)), "jaccard-lists")
+    lists = shared.filter("kind = 0")
 
     edges = repeats.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     if boundary:
-        edges = edges.unionByName(_small_links(rows.filter("kind > 0")))
+        edges = edges.unionByName(_small_links(shared.filter("kind > 0")))
 
     # the count of lists that a set shares with a head leaves out common lists with another head: a guess, the last turn is exact
     stars = (lists.filter("rep != head").groupBy("rep", "n", "last", "head", "head_n", "head_last").count()
@@ -477,13 +492,18 @@ def components_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     edges = stage(edges.unionByName(found), "jaccard-first-links")
     comps = stage(components(edges, "a", "b"), "jaccard-components")
     as_edges = lambda c: c.select(F.col("node").alias("a"), F.col("component").alias("b"))  # noqa: E731  stand for all links so far
+    discard(found)
     for turn in range(ROUNDS + 1):
-        rows = lists = stage(_open_lists(lists, comps), "jaccard-open-sets")  # a list once closed stays closed
+        keys = stage(_open_keys(lists, comps), "jaccard-open-keys")
+        rows = lists = stage(_open_lists(lists, comps, keys), "jaccard-open-sets")  # a list once closed stays closed
+        discard(shared, keys)
+        shared = rows
         # the last turn looks at all open pairs; those before it join components, most of whose pairs need no look then
         last = turn == ROUNDS or turn > 1 and 4 * linked < tried
         found, tried, linked = verified(_open_pairs(_with_maps(rows), 0 if last else TRIES if turn else 1), docs)
         if linked:
             comps = stage(components(as_edges(comps).unionByName(found), "a", "b"), "jaccard-components")
+        discard(found)
         if last:
             break
 

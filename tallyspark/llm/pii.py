@@ -192,7 +192,11 @@ def mask(text: str, spans: list[tuple[str, int, int]]) -> str:
 
 
 def redact(df: DataFrame, text_col: str = "text", n_chars_col: str | None = "n_chars") -> DataFrame:
-    """``df``, every row and column, with personal data masked in the text (and its length renewed)."""
+    """``df``, every row and column, with personal data masked in the text (and its length renewed).
+
+    A null or empty text stays as it is; repeated rows are masked alike; a null id
+    and columns of any name pass through; an empty table stays empty; a text of any length is masked whole.
+    """
     names = df.columns
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
 

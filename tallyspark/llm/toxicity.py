@@ -313,7 +313,8 @@ def score(docs: DataFrame, labels: DataFrame, held_out: int = 2, folds: int = 4,
     neither 0 nor 1 teach nothing; of several labels of an id the largest holds.
     Without labels of both kinds all weights are 0.  A null or empty text has no
     words, and the score of its bin.  A null doc_id is not held out and is never
-    labelled.  Other columns are left out.
+    labelled.  Repeated rows get a row each; each of them teaches.  Texts of any length
+    are read whole; an empty table gives no rows.  Other columns are left out.
     """
     docs = docs.select("doc_id", "text")
     fold = lambda c: F.coalesce(F.crc32(c.cast("string")) % folds == held_out, F.lit(False))
