@@ -15,17 +15,20 @@ from .text import py_strip
 
 def amount_key_text(c: Column) -> Column:
     """Decimal -> '150.0' / '150.25' (two places, trailing zero of the cents dropped)."""
-    return F.regexp_replace(c.cast("decimal(18,2)").cast("string"), "0$", "")
+    text = c.cast("decimal(18,2)").cast("string")
+    return F.substring(text, F.lit(1), F.length(text) - text.endswith("0").cast("int"))
 
 
 def _part(c: Column, dtype: str) -> Column:
-    if dtype == "date":
+    if dtype == "day":          # a date without time of day: midnight, whatever the session's time zone
+        txt = F.concat(c.cast("string"), F.lit(" 00:00:00"))
+    elif dtype == "date":
         txt = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
     elif dtype.startswith("decimal"):
         txt = amount_key_text(c)
     else:
-        txt = c.cast("string")
-    return F.coalesce(F.lower(py_strip(txt)), F.lit(""))
+        txt = F.lower(py_strip(c.cast("string")))
+    return F.coalesce(txt, F.lit(""))
 
 
 def row_digest(parts: list[tuple[Column, str]]) -> Column:

@@ -95,16 +95,20 @@ def parse_lines(lines: DataFrame, settings: Settings, keep: tuple[str, ...] = ()
     per-line work is one CSV parse plus codegen'd scalar expressions.  ``keep``
     names further columns to pass through (the file's identity).
     """
+    quoted = F.col("line").contains('"')       # only such a line needs more than a split at its commas
     df = lines.select(
         F.col("file_name"), F.col("line_no").cast("int").alias("line_no"), F.col("line"),
-        *LAYOUT_COLUMNS, *keep, csv_cells(F.col("line")).alias("cells"))
-    width, cells = F.col("width"), F.col("cells")
+        *LAYOUT_COLUMNS, *keep, F.when(quoted, csv_cells(F.col("line"))).alias("cells"),
+        F.when(~quoted, F.split(F.col("line"), ",")).alias("plain"))
+    width, cells, plain = F.col("width"), F.col("cells"), F.col("plain")
     # a missing cell counts as null
-    nulls = width - F.size(F.filter(F.slice(cells, 1, F.greatest(width, F.lit(0))), lambda c: c.isNotNull()))
+    first = lambda a: F.slice(a, 1, F.greatest(width, F.lit(0)))
+    nulls = width - (F.when(cells.isNotNull(), F.size(F.filter(first(cells), lambda c: c.isNotNull())))
+                      .otherwise(F.size(F.array_remove(first(plain), ""))))
+    cell = lambda i: F.coalesce(F.get(cells, F.col(i)), F.nullif(F.get(plain, F.col(i)), F.lit("")))
     df = df.select(
         "file_name", "line_no", "line", "width", "header_ok", *keep, nulls.alias("nulls"),
-        F.get(cells, F.col("i_date")).alias("d_txt"), F.get(cells, F.col("i_part")).alias("p_txt"),
-        F.get(cells, F.col("i_dr")).alias("dr_txt"), F.get(cells, F.col("i_cr")).alias("cr_txt"))
+        cell("i_date").alias("d_txt"), cell("i_part").alias("p_txt"), cell("i_dr").alias("dr_txt"), cell("i_cr").alias("cr_txt"))
     d_txt, p_txt, dr_txt, cr_txt = (F.col(c) for c in ("d_txt", "p_txt", "dr_txt", "cr_txt"))
     df = df.select(
         "*", day_first_date(d_txt).alias("date"),

@@ -24,7 +24,7 @@ def key_parts(df: DataFrame, columns: tuple[str, ...]) -> list[tuple[Column, str
         name = _KINDS.get(type(kind))
         if name is None or name != _WANTED.get(c, name) or (name == "decimal" and kind.scale > 2):
             faults.append(f"{c}: {'absent' if kind is None else kind.simpleString()}")
-        parts.append((F.col(c), name or ""))
+        parts.append((F.col(c), "day" if isinstance(kind, DateType) else name or ""))
     if faults:
         raise ValueError("no row key can be built from " + ", ".join(faults))
     return parts

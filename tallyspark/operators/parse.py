@@ -8,12 +8,13 @@ projection, so a batch holding several banks is transformed in a single pass
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import Settings
 from ..functions.literals import string_map
-from ..functions.text import capitalize, py_strip
+from ..functions.text import capitalize, is_blank, py_strip
 
 
 def _char_class(chars: str) -> str:
@@ -24,9 +25,12 @@ def split_tokens(particulars: Column, bank: Column, settings: Settings) -> Colum
     """T1 + T2: split on the bank's character class, drop blank tokens (kept unstripped)."""
     expr = None
     for b in settings.banks:
-        arr = F.split(particulars, _char_class(b.split_class))
+        # every separator becomes the first one: a split on one plain character compiles no pattern a row
+        first, *rest = b.split_class
+        text = reduce(lambda t, c: F.replace(t, F.lit(c), F.lit(first)), rest, particulars)
+        arr = F.split(text, _char_class(first))
         expr = F.when(bank == b.bank, arr) if expr is None else expr.when(bank == b.bank, arr)
-    return F.filter(expr, lambda t: py_strip(t) != "")
+    return F.filter(expr, lambda t: ~is_blank(t))
 
 
 def is_manual(cr: Column, bank: Column, len_split: Column) -> Column:

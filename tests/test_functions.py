@@ -90,3 +90,29 @@ def test_keys_stable_under_repartition(spark):
     a = rows.select("file_name", "line_no", "uuid")
     b = rows.repartition(7, "particulars").select("file_name", "line_no", "uuid")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_strip_removes_what_the_whitespace_class_of_unicode_holds(spark):
+    c = F.expr("decode(unhex(lpad(hex(id), 4, '0')), 'UTF-16BE')")
+    t = spark.range(1, 0xffff).filter("id NOT BETWEEN 55296 AND 57343").select(c.alias("c")).select(F.concat("c", F.lit("a b"), "c").alias("v"))
+    old = F.regexp_replace("v", r"(?U)^\s+|\s+$", "")
+    assert t.filter(text.py_strip(F.col("v")) != old).count() == 0
+    assert t.filter(text.is_blank(F.regexp_replace("v", "a b", "")) != (F.regexp_replace(F.regexp_replace("v", "a b", ""), r"(?U)\s", "") == "")).count() == 0
+
+
+def test_plain_dates_and_amounts_give_what_the_general_path_gives(spark):
+    days = ["01/02/24", "31/02/24", "29-02-2024", "29.02.2023", "00/01/20", "01/13/2020", "01/02/0000", "01/02/0099", "01/02/68", "01/02/69",
+            "01/02/2024\n", " 01/02/2024", "1/2/24", "2024-02-01", "1 April 26", "01-Apr-2026", "********", "Generated on 1", "31-Feb-24",
+            "01/02/2024 10:11", "", None]
+    df = spark.createDataFrame([(d,) for d in days], "v string")
+    got = df.select(text.day_first_date(F.col("v")).cast("string").alias("a"), text._any_day_first_date(F.col("v")).cast("string").alias("b")).collect()
+    assert [r.a for r in got] == [r.b for r in got] and sum(r.a is not None for r in got) >= 10
+    sums = ["1", "1.5", "1.50", "1.505", "9" * 16, "9" * 17, "9" * 16 + ".99", "1.", ".5", " 2.50 ", "1e2", "-3.1", "1,0", "1d", "1.50\n", "", None]
+    got = spark.createDataFrame([(d,) for d in sums], "v string").select(text.amount(F.col("v")).alias("a")).collect()
+    assert [None if r.a is None else str(r.a) for r in got] == [
+        "1.00", "1.50", "1.50", None, "9" * 16 + ".00", None, "9" * 16 + ".99", "1.00", "0.50", "2.50", "100.00", "-3.10", None, None, "1.50", None, None]
+
+
+def test_a_date_is_written_out_once_in_a_plan(spark):
+    df = spark.createDataFrame([("01/02/24",)], "v string").select(text.day_first_date(F.col("v")).alias("d"))
+    assert str(df._jdf.queryExecution().optimizedPlan()).count("regexp_replace") <= 2 and df.first().d is not None
