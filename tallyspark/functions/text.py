@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 # Python's str.strip() removes any Unicode whitespace; Spark's trim() only spaces, unless it is given the characters.
-_WS = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200b))) + "\u2028\u2029\u202f\u205f\u3000"
+WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200b))) + "\u2028\u2029\u202f\u205f\u3000"
 # The plain forms that nearly all cells have; they need one regular expression and a cast.
 _PLAIN_NUMBER = r"^\d{1,16}(?:\.\d{1,2})?\z"
 _PLAIN_DATE = r"^\d{2}[/.-]\d{2}[/.-](?:[1-9]\d{3}|\d{2})\z"
@@ -23,12 +23,12 @@ YEAR_PIVOT = 69
 
 
 def py_strip(c: Column) -> Column:
-    return F.btrim(c, F.lit(_WS))
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def is_blank(c: Column) -> Column:
     """Nothing but what ``py_strip`` removes; decided at the first other character."""
-    return c.rlike(f"^[{_WS}]*+\\z")
+    return c.rlike(f"^[{WHITE_SPACE}]*+\\z")
 
 
 def norm(c: Column, case_sensitive: bool = False) -> Column:

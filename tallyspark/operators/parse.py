@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import Settings
 from ..functions.literals import string_map
-from ..functions.text import capitalize, is_blank, py_strip
+from ..functions.text import WHITE_SPACE, capitalize, is_blank, py_strip
 
 
 def _char_class(chars: str) -> str:
@@ -29,8 +29,11 @@ def split_tokens(particulars: Column, bank: Column, settings: Settings) -> Colum
         first, *rest = b.split_class
         text = reduce(lambda t, c: F.replace(t, F.lit(c), F.lit(first)), rest, particulars)
         arr = F.split(text, _char_class(first))
+        # a token of white space needs a separator, or the start, before its first character
+        spaced = text.rlike(f"(?:^|{_char_class(first)})[{WHITE_SPACE}]")
+        arr = F.when(spaced, F.filter(arr, lambda t: ~is_blank(t))).otherwise(F.array_remove(arr, ""))
         expr = F.when(bank == b.bank, arr) if expr is None else expr.when(bank == b.bank, arr)
-    return F.filter(expr, lambda t: ~is_blank(t))
+    return expr
 
 
 def is_manual(cr: Column, bank: Column, len_split: Column) -> Column:
