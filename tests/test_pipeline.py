@@ -283,6 +283,35 @@ def test_stream_and_batch_answer_for_empty_corrupt_and_short_files(spark, tmp_pa
     assert _rejects(spark, stream) == _rejects(spark, batch)
 
 
+def test_drain_loads_all_micro_batches_at_once(spark, tmp_path, monkeypatch):
+    import json
+    from tallyspark.streaming import daily
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    for at, (name, rows) in enumerate({"axis_a.csv": ((1, "10.00"), (1, "10.00"), (2, "abc")), "axis_b.csv": ((1, "10.00"), (3, "12.00")),
+                                       "axis_c.csv": ((4, "13.00"),)}.items()):
+        _write(inbox, name, _axis(*rows))
+        os.utime(inbox / name, (1_700_000_000 + at, 1_700_000_000 + at))
+    p, ckpt = paths(spark, str(inbox)), str(tmp_path / "ckpt")
+
+    def lost(*_):
+        raise RuntimeError("lost")
+    with monkeypatch.context() as m:
+        m.setattr(daily, "load_landed", lost)
+        with pytest.raises(RuntimeError, match="lost"):
+            run_daily_stream(spark, DEFAULT, p, ckpt, max_files_per_trigger=1)
+    run_daily_stream(spark, DEFAULT, p, ckpt, max_files_per_trigger=1)           # what has landed is not lost
+    run_daily_stream(spark, DEFAULT, p, ckpt, max_files_per_trigger=1)
+    rows = spark.read.parquet(p.months)
+    assert sorted(str(r.dr) for r in rows.collect()) == ["10.00", "10.00", "12.00", "13.00"]    # J1: the second file's first row is known
+    assert len({f for f in rows.inputFiles()}) == rows.select("month").distinct().count()       # one append, not one a micro-batch
+    assert [x[2] for x in _rejects(spark, p)] == ["bad_amount"]
+    runs = sorted((r.rows, r.groups, json.loads(r.details)["delta"], json.loads(r.details)["files"], json.loads(r.details)["rejects"])
+                  for r in spark.read.parquet(p.runs).filter("status = 'SUCCESS'").collect())
+    assert runs == [(1, 1, 1, 1, 0), (2, 1, 1, 1, 0), (2, 1, 2, 1, 1)]
+    assert spark.read.parquet(p.processed).count() == 3
+
+
 def test_an_inbox_of_empty_files_and_an_empty_inbox(spark, tmp_path):
     inbox = tmp_path / "inbox"
     inbox.mkdir()
