@@ -116,3 +116,19 @@ def test_plain_dates_and_amounts_give_what_the_general_path_gives(spark):
 def test_a_date_is_written_out_once_in_a_plan(spark):
     df = spark.createDataFrame([("01/02/24",)], "v string").select(text.day_first_date(F.col("v")).alias("d"))
     assert str(df._jdf.queryExecution().optimizedPlan()).count("regexp_replace") <= 2 and df.first().d is not None
+
+
+def test_strip_takes_what_python_takes_from_either_end(spark):
+    from tallyspark.functions.text import WHITE_SPACE, py_strip
+    texts = ["", "a", "a b", "~!", "\u00e9", "\u00e9 ", "\x7f", "a\u3000", "\u3000a", " ", "\u2003\u2003"]
+    texts += [f"{x}mid{y}" for x in ("", "\u00df", *WHITE_SPACE) for y in ("", "\u00df", *WHITE_SPACE)]
+    df = spark.createDataFrame([(t,) for t in texts] + [(None,)], "t string").select("t", py_strip(F.col("t")).alias("s"))
+    assert all(r.s == (None if r.t is None else r.t.strip(WHITE_SPACE)) for r in df.collect())
+
+
+def test_a_split_at_one_character_compiles_no_pattern(spark):
+    from tallyspark.operators.parse import _plain_char
+    for c in "/-. |$()[{^?*+\\],":
+        assert len(_plain_char(c)) == 1 or _plain_char(c) == "\\" + c          # the forms that String.split takes as they are
+        got = spark.createDataFrame([(f"a{c}b{c}{c}",)], "t string").select(F.split("t", _plain_char(c)).alias("x")).first().x
+        assert got == ["a", "b", "", ""]
