@@ -360,3 +360,33 @@ def test_pivot_columns_add_up(spark):
     got = {r.Category: r for r in report.month_pivot_view(df, ["2026-01", "2026-02"]).collect()}
     assert (got["a"]["2026-01"], got["a"]["2026-02"], got["a"]["other"]) == (5, None, 8)
     assert (got["b"]["2026-02"], got["b"]["other"]) == (2, None)
+
+
+def test_known_rows_are_found_without_moving_all_rows(spark, monkeypatch):
+    batch = catalog.batch_with_month(spark, SF).drop("file_name", "line_no")
+    months = load.batch_months(batch)
+    new, old = batch.filter(F.col("month") < months[40]), batch.filter(F.col("month") >= months[40])
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert load.unseen(new, old) is new                                  # no common key: nothing to join
+    few = old.filter(F.col("month") == months[41]).unionByName(new)
+    left = load.unseen(few, old)
+    assert "strategy=broadcast" in plan(left) and left.count() == new.count()
+    monkeypatch.setattr("tallyspark.plans.joins.BROADCAST_BYTES", 0)     # many known rows: the join of whole rows
+    assert load.unseen(few, old).count() == new.count()
+
+
+def test_compaction_moves_no_row_through_a_shuffle(spark):
+    base = scratch_path(spark, "months")
+    rows = spark.range(400).select((F.col("id") % 2 + 1).cast("string").alias("m"), F.col("id").cast("string").alias("uuid"))
+    rows = rows.select("uuid", F.concat(F.lit("2026-0"), "m").alias("month"))
+    rows.repartition(8).write.partitionBy("month").parquet(base)
+    made = []
+    union = load.DataFrame.unionByName
+    try:
+        load.DataFrame.unionByName = lambda a, b, *x, **k: made.append(union(a, b, *x, **k)) or made[-1]
+        assert load.compact(spark, base, max_files=2) == ["2026-01", "2026-02"]
+    finally:
+        load.DataFrame.unionByName = union
+    assert "Exchange" not in made[-1]._jdf.queryExecution().executedPlan().toString()
+    after = spark.read.parquet(base)
+    assert sorted(int(r.uuid) for r in after.collect()) == list(range(400)) and len(after.inputFiles()) <= 4
