@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame, functions as F
 
 from .chunks import ChunkEncoder, Generations
-from .common import map_rows, texts
+from .common import kept, map_rows, texts
 
 #: Strings up to this many bytes are merged directly; longer ones are halved.
 LEAF_BYTES = 4
@@ -138,16 +138,12 @@ class Bpe:
         return b"".join([words[p[1:]] if p[0] == " " and p[1:].isalpha() else others[p] for p in found])
 
 
-_LOADED: dict[tuple[str, str], Bpe] = {}
-
-
 def load(path: str, pattern: str) -> Bpe:
-    """The vocabulary in a rank file (base64 token, rank), loaded once per worker."""
-    if (path, pattern) not in _LOADED:
+    """The vocabulary in a rank file (base64 token, rank), loaded once for the tasks that a worker runs in a row."""
+    def make():
         with open(path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        _LOADED[path, pattern] = Bpe(ranks, pattern)
-    return _LOADED[path, pattern]
+            return Bpe({base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}, pattern)
+    return kept(("bpe", path, pattern), make)
 
 
 def encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

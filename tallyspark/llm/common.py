@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+import gc
+from collections.abc import Callable, Hashable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +50,35 @@ def sized_lists(df: DataFrame, column: str, item_bytes: int, limit: int = BROADC
     return F.broadcast(df) if rows * 64 + (items or 0) * item_bytes <= limit else df
 
 
+_KEPT: dict[Hashable, object] = {}
+_ASKED: set[Hashable] = set()
+
+
+def kept(key: Hashable, make: Callable[[], object]) -> object:
+    """``make()``, once in this process for all tasks that ask for ``key`` one after the other."""
+    _ASKED.add(key)
+    if key not in _KEPT:
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def begin(make: Callable[[], object]) -> object:
+    """``make()`` for a new task; what earlier tasks kept and this one did not ask for is let go.
+
+    Spark hands a worker from one operator to the next: a vocabulary and its
+    memories would stay beside all that the next one needs.
+    """
+    _ASKED.clear()
+    step = make()
+    others = _KEPT.keys() - _ASKED
+    for key in others:
+        del _KEPT[key]
+    if others:
+        gc.collect()                                   # they refer to themselves
+        pa.default_memory_pool().release_unused()
+    return step
+
+
 def map_rows(df: DataFrame, schema: str, make: Callable[[], Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]]],
              slice_rows: int = 256) -> DataFrame:
     """Arrow map over ``df``: ``make()`` runs once per task, its result once per slice of rows.
@@ -57,7 +87,7 @@ def map_rows(df: DataFrame, schema: str, make: Callable[[], Callable[[pa.RecordB
     size of the batches that Spark sends.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        step = make()
+        step = begin(make)
         for batch in batches:
             for lo in range(0, batch.num_rows, slice_rows):
                 yield from step(batch.slice(lo, slice_rows))
@@ -81,7 +111,7 @@ def lower_az(col: Column) -> Column:
 class WordHash(dict):
     """bytes -> 64-bit hash, remembered; two generations bound the memory."""
 
-    def __init__(self, size: int = 1 << 18):
+    def __init__(self, size: int = 1 << 16):
         self.size, self.old = size, {}
 
     def __missing__(self, word: bytes) -> int:
