@@ -128,6 +128,33 @@ class WordHash(dict):
         return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
+#: Masks that keep the first 0 to 8 bytes of a little-endian word.
+_FIRST_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
+#: Words up to this many bytes are hashed as columns, eight bytes at a time; longer ones one by one.
+_COLUMN_BYTES = 64
+
+
+def word_hashes(text: bytes) -> np.ndarray:
+    """64-bit hashes of the words (runs without ASCII white space) of a text, in order; nothing is remembered."""
+    padded = b"".join((b" ", text, b" " * 8))
+    raw = np.frombuffer(padded, np.uint8)
+    space = (raw == 32) | (raw - np.uint8(9) < 5)
+    edges = np.flatnonzero(space[1:] != space[:-1]) + 1
+    starts, left = edges[::2], edges[1::2] - edges[::2]
+    eights = np.ndarray(len(raw) - 7, "<u8", padded, strides=(1,))  # the eight bytes from each place on
+    eight = lambda at, n: eights[at] & _FIRST_BYTES[np.minimum(n, 8)]
+    out = mix64(left.astype(np.uint64) * np.uint64(0xA0761D6478BD642F) + eight(starts, left))
+    more = np.flatnonzero(left > 8)
+    for k in range(8, _COLUMN_BYTES, 8):
+        if not len(more):
+            break
+        out[more] = mix64(out[more] * np.uint64(0xE7037ED1A0B428DB) + eight(starts[more] + k, left[more] - k))
+        more = more[left[more] > k + 8]
+    for i in more.tolist():
+        out[i] = xxhash.xxh3_64_intdigest(padded[starts[i]:starts[i] + left[i]])
+    return out
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit reaches every output bit."""
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)

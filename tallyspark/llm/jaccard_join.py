@@ -35,8 +35,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import (WordHash, count_blocks, discard, map_rows, mix64, ngram_hashes, signed, sized, stage, summed_counts,
-                     texts)
+from .common import (count_blocks, discard, map_rows, mix64, ngram_hashes, signed, sized, stage, summed_counts, texts,
+                     word_hashes)
 from .graph import components
 
 WORDS = 5
@@ -50,17 +50,15 @@ LIST_BLOCK = 2048
 
 def shingles(words: np.ndarray) -> np.ndarray:
     """The distinct shingle hashes of a word-hash sequence, sorted."""
-    return np.unique(ngram_hashes(words, min(WORDS, len(words)))) if len(words) else np.empty(0, np.uint64)
+    if not len(words):
+        return np.empty(0, np.uint64)
+    every = np.sort(ngram_hashes(words, min(WORDS, len(words))))
+    return every[np.concatenate([[True], every[1:] != every[:-1]])]
 
 
-class _Sets:
-    """text -> its shingle set; words end at ASCII white space, A-Z are lowered."""
-
-    def __init__(self):
-        self.words = WordHash()
-
-    def __call__(self, text: str) -> np.ndarray:
-        return shingles(self.words.array(text.encode().lower().split()))
+def shingle_set(text: str) -> np.ndarray:
+    """The shingle set of a text; words end at ASCII white space, A-Z are lowered."""
+    return shingles(word_hashes(text.encode().lower()))
 
 
 def least_overlap(s: int, t: int) -> int:
@@ -87,10 +85,10 @@ def _read_sets(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     names = ["doc_id", "n", "digest", "block", "counts"]
 
     def make():
-        sets, counts = _Sets(), np.zeros(1 << BUCKET_BITS, np.int64)
+        counts = np.zeros(1 << BUCKET_BITS, np.int64)
 
         def step(batch):
-            found = [sets(t) for t in texts(batch.column(1))]
+            found = [shingle_set(t) for t in texts(batch.column(1))]
             every = np.concatenate([np.empty(0, np.uint64), *found])
             counts[:] += np.bincount((every >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), minlength=len(counts))
             digests = [hashlib.blake2b(x.tobytes(), digest_size=16).digest() if len(x) else None for x in found]
@@ -138,8 +136,6 @@ def _signatures(reps: DataFrame, classes: np.ndarray, boundary: int) -> DataFram
     names = ["kind", "key", "rep", "n", "last"]
 
     def make():
-        sets = _Sets()
-
         def ordered(x: np.ndarray) -> np.ndarray:
             """Shingles as keys whose order is rare buckets first: class, then 57 bits of the hash."""
             bucket = classes[(x >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)].astype(np.uint64)
@@ -157,7 +153,7 @@ def _signatures(reps: DataFrame, classes: np.ndarray, boundary: int) -> DataFram
         def step(batch):
             keys, ids, sizes, lasts, kinds = [], [], [], [], []
             for d, t in zip(batch.column(0).to_pylist(), texts(batch.column(1))):
-                x = sets(t)
+                x = shingle_set(t)
                 n = len(x)
                 if n > boundary:
                     k = ordered(x)[:prefix_length(n)]
@@ -263,13 +259,13 @@ def verified(pairs: DataFrame, docs: DataFrame) -> tuple[DataFrame, int, int]:
                  .join(found.withColumnsRenamed({"doc_id": "a", "text": "ta"}), "a"))
 
     def make():
-        sets, known = _Sets(), {}
+        known = {}
 
         def get(text):
             if text not in known:
                 if len(known) >= 256:
                     known.clear()
-                known[text] = sets(text)
+                known[text] = shingle_set(text)
             return known[text]
 
         def step(batch):
