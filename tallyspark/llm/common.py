@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Callable, Hashable, Iterable, Iterator
 
@@ -16,6 +17,9 @@ from ..sources.paths import delete
 #: A table is broadcast only when its counted rows stay within this many bytes.
 BROADCAST_BYTES = 32 << 20
 
+#: Bytes, about, of the Arrow batches that Spark sends to Python, unless the session names another limit.
+BATCH_BYTES = 4 << 20
+
 _MASK = (1 << 64) - 1
 
 
@@ -75,17 +79,34 @@ def begin(make: Callable[[], object]) -> object:
         del _KEPT[key]
     if others:
         gc.collect()                                   # they refer to themselves
-        pa.default_memory_pool().release_unused()
+    _release()
     return step
 
 
+def _release() -> None:
+    """Give freed memory back to the system: Arrow's, and with glibc what lies between live objects, which it keeps otherwise."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def _bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of BATCH_BYTES instead of Spark's default of 64 MB: both sides hold a batch of each task, outside the heap."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) == "67108864b":
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def map_rows(df: DataFrame, schema: str, make: Callable[[], Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]]],
              slice_rows: int = 256) -> DataFrame:
     """Arrow map over ``df``: ``make()`` runs once per task, its result once per slice of rows.
 
     Slices keep the Python side to a few hundred texts at a time, whatever the
-    size of the batches that Spark sends.
+    size of the batches that Spark sends; these are bounded in bytes.
     """
+    _bounded_batches(df.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = begin(make)
         for batch in batches:

@@ -6,9 +6,10 @@ import tracemalloc
 import weakref
 
 import public_tokenizers as P
+import pyarrow as pa
 
 from tallyspark.llm import bpe, jaccard_join
-from tallyspark.llm.common import WordHash, begin, word_hashes
+from tallyspark.llm.common import BATCH_BYTES, WordHash, begin, map_rows, word_hashes
 
 
 def test_a_vocabulary_goes_when_a_task_of_another_operator_begins():
@@ -58,3 +59,12 @@ def test_a_shingle_set_makes_no_object_for_a_word_and_remembers_none():
     finally:
         tracemalloc.stop()
     assert left < words and most < 130 * words
+
+
+def test_batches_sent_to_python_are_bounded_in_bytes(spark):
+    def make():
+        return lambda batch: [pa.RecordBatch.from_arrays([pa.array([batch.column(0).buffers()[-1].size])], ["n"])]
+
+    texts = spark.range(0, 9000, 1, 1).selectExpr("repeat('x', 2000) AS t")
+    sizes = [r.n for r in map_rows(texts, "n bigint", make).collect()]
+    assert len(sizes) >= 9000 / 256 and max(sizes) <= 2 * BATCH_BYTES  # a column's buffer may have room to spare
