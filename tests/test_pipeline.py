@@ -312,6 +312,44 @@ def test_drain_loads_all_micro_batches_at_once(spark, tmp_path, monkeypatch):
     assert spark.read.parquet(p.processed).count() == 3
 
 
+def test_a_drain_writes_micro_batches_at_a_time_and_reads_lost_ones(spark, tmp_path, monkeypatch):
+    import threading
+    from tallyspark.streaming import daily
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    for i in range(6):
+        _write(inbox, f"axis_{i}.csv", _axis((i + 1, "10.00")))
+        os.utime(inbox / f"axis_{i}.csv", (1_700_000_000 + i, 1_700_000_000 + i))
+    p, ckpt = paths(spark, str(inbox)), str(tmp_path / "ckpt")
+    real, two, calls = daily.place, threading.Barrier(2), []
+
+    def place(batch):
+        calls.append(1)
+        if len(calls) <= 2:
+            two.wait(60)                                   # the first write goes on until the second one has begun
+        if len(calls) > 3:
+            raise RuntimeError("lost")
+        return real(batch)
+    with monkeypatch.context() as m:
+        m.setattr(daily, "place", place)
+        with pytest.raises(Exception, match="lost"):
+            run_daily_stream(spark, DEFAULT, p, ckpt, max_files_per_trigger=1)
+    assert not os.path.exists(p.months.removeprefix("file:"))
+    # half of a write that died is not taken for landed
+    real(spark.createDataFrame([], daily.LANDED_SCHEMA.rsplit(", at", 1)[0])).write.parquet(f"{ckpt}/landed/batch=77")
+    run_daily_stream(spark, DEFAULT, p, ckpt, max_files_per_trigger=1)
+    run_daily_stream(spark, DEFAULT, p, ckpt, max_files_per_trigger=1)
+    assert sorted(r.particulars for r in spark.read.parquet(p.months).collect()) == sorted(
+        r.particulars for r in _batch_rows(spark, str(inbox)))
+    assert spark.read.parquet(p.processed).count() == 6 and not spark.read.parquet(p.rejects).count()
+
+
+def _batch_rows(spark, inbox):
+    p = paths(spark, inbox)
+    run_daily(spark, DEFAULT, p, max_files=10)
+    return spark.read.parquet(p.months).collect()
+
+
 def test_an_inbox_of_empty_files_and_an_empty_inbox(spark, tmp_path):
     inbox = tmp_path / "inbox"
     inbox.mkdir()
