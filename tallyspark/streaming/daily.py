@@ -146,11 +146,11 @@ def _start(spark: SparkSession, settings: Settings, paths: DailyPaths, checkpoin
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    with few_listing_tasks(spark), _plain_checkpoint_files(spark, checkpoint):      # the query keeps what is set as it starts
-        return (raw_lines(reader.text(paths.inbox)).writeStream.foreachBatch(each_batch)
-                .option("checkpointLocation", checkpoint)
-                .trigger(availableNow=True)
-                .start())
+    lines = raw_lines(reader.text(paths.inbox))
+    return (lines.writeStream.foreachBatch(each_batch)
+                 .option("checkpointLocation", checkpoint)
+                 .trigger(availableNow=True)
+                 .start())
 
 
 def run_daily_stream(spark: SparkSession, settings: Settings, paths: DailyPaths, checkpoint: str,
@@ -164,13 +164,14 @@ def run_daily_stream(spark: SparkSession, settings: Settings, paths: DailyPaths,
     with scratch_scope(spark):
         listing = materialize(unprocessed(spark, list_statements(spark, paths.inbox, settings.file_glob), paths), "listing")
         _load_landed(spark, settings, paths, checkpoint)
-        if max_files_per_trigger:
-            _land(spark, settings, paths, checkpoint, max_files_per_trigger, archive_dir)
-        else:
-            query = start_daily_stream(spark, settings, paths, checkpoint, None, archive_dir)
-            query.awaitTermination()
-            if query.exception() is not None:
-                raise query.exception()
+        with few_listing_tasks(spark), _plain_checkpoint_files(spark, checkpoint):      # the source asks for them as it runs
+            if max_files_per_trigger:
+                _land(spark, settings, paths, checkpoint, max_files_per_trigger, archive_dir)
+            else:
+                query = start_daily_stream(spark, settings, paths, checkpoint, None, archive_dir)
+                query.awaitTermination()
+                if query.exception() is not None:
+                    raise query.exception()
         _load_landed(spark, settings, paths, checkpoint)
         silent = materialize(unprocessed(spark, listing, paths), "not-loaded")
         n = silent.count()
