@@ -10,6 +10,7 @@ from tallyspark.operators import consolidate, load
 from tallyspark.plans import catalog, synth
 from tallyspark.plans.consolidate import run_consolidate
 from tallyspark.plans.daily import DailyPaths, run_daily
+from tallyspark.plans.joins import materialize
 from tallyspark.session import scratch_path
 from tallyspark.sources import statements, versions
 from tallyspark.streaming.daily import run_daily_stream, start_daily_stream
@@ -413,6 +414,35 @@ def test_known_rows_are_found_without_moving_all_rows(spark, monkeypatch):
     assert load.unseen(few, old).count() == new.count()
 
 
+def test_many_known_rows_are_found_by_their_digests(spark, monkeypatch):
+    batch = catalog.batch_with_month(spark, SF).drop("file_name", "line_no")
+    batch = materialize(batch, "batch")
+    half = batch.filter(F.xxhash64("uuid") % 2 == 0)
+    want = sorted(r.uuid for r in load.anti_join(batch, half).collect())
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr("tallyspark.plans.joins.BROADCAST_BYTES", 0)
+    for power in (28, 15, 12, 4):                          # room for all hashes, many that meet, a bitmap for the unknown ones only, none
+        monkeypatch.setattr("tallyspark.plans.joins.BITMAP_POWER", power)
+        assert sorted(r.uuid for r in load.unseen(batch, half, grouped=power > 4).collect()) == want, power
+        again = load.unseen(batch, batch)                  # all known: no whole row is joined with the old ones
+        assert "LeftAnti" not in plan(again) and again.isEmpty()
+
+
+def test_rows_grouped_by_month_are_written_without_a_shuffle(spark):
+    rows = {}
+    for grouped in (False, True):
+        batch = catalog.batch_with_month(spark, SF, grouped=grouped).drop("file_name", "line_no")
+        base = scratch_path(spark, "months")
+        load.route(batch, base, grouped=grouped)
+        assert load.route(batch, base, grouped=grouped).delta == 0
+        load.write_fresh(batch.filter("dr IS NOT NULL"), base, grouped=grouped)
+        got = spark.read.parquet(base)
+        rows[grouped] = sorted((r.uuid, r.month) for r in got.collect())
+        months = got.select("month").distinct().count()
+        assert len(got.inputFiles()) <= 3 * months
+    assert rows[True] == rows[False]
+
+
 def test_compaction_moves_no_row_through_a_shuffle(spark):
     base = scratch_path(spark, "months")
     rows = spark.range(400).select((F.col("id") % 2 + 1).cast("string").alias("m"), F.col("id").cast("string").alias("uuid"))
